@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 Z95 = 1.959963984540054
 
@@ -78,17 +79,17 @@ def t_quantile(df: int, z: float = Z95) -> float:
     return (lo + hi) / 2
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi2_p(x: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([chi2_tail(a, int(b)) for a, b in zip(x, df)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_p(z: pd.Series) -> pd.Series:
     """Two-sided normal p value."""
     return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def t_point(df: pd.Series) -> pd.Series:
     return df.map(lambda v: t_quantile(int(v)) if v == v and v >= 1 else float("nan"))

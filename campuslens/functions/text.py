@@ -30,10 +30,11 @@ ABSENCE_STEMS = ["inasisten", "ausenci", "falt"]
 
 @lru_cache(maxsize=1)
 def _ascii_folding() -> tuple[str, str, dict[str, str]]:
-    """Compatibility decomposition without its non-ASCII part, as (from, to, multi-letter map).
+    """Compatibility decomposition without its non-ASCII part, as (from, to, multi-letter map);
+    ``from`` is longer than ``to``: its tail is deleted.
 
     Derived from the Unicode database for every code point of the basic plane."""
-    src, dst, multi = [], [], {}
+    src, dst, dropped, multi = [], [], [], {}
     for code in range(0x80, 0x10000):
         ch = chr(code)
         if unicodedata.category(ch) in ("Cs", "Cn", "Co"):
@@ -44,21 +45,24 @@ def _ascii_folding() -> tuple[str, str, dict[str, str]]:
             dst.append(plain)
         elif len(plain) > 1:
             multi[ch] = plain
-    return "".join(src), "".join(dst), multi
+        elif code < 0x370 or 0x2000 <= code < 0x2070:
+            dropped.append(ch)  # Latin letters, marks and punctuation without an ASCII part
+    return "".join(src + dropped), "".join(dst), multi
 
 
 def fold_ascii(text: Column) -> Column:
     """Accents stripped and remaining non-ASCII dropped, without leaving the JVM.
 
-    Single-letter results go through ``translate``; the rare signs that decompose into
-    several letters take a per-character lookup, evaluated only for texts holding one."""
+    Single-letter results go through ``translate``; a sign that decomposes into several
+    letters is replaced by name, once per distinct sign present in the text."""
     src, dst, multi = _ascii_folding()
     lookup = F.create_map(*[F.lit(x) for pair in sorted(multi.items()) for x in pair])
     signs = "[" + "".join(sorted(multi)) + "]"
-    expanded = F.array_join(
-        F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(lookup, c), c)), "")
-    widened = F.when(text.rlike(signs), expanded).otherwise(text)
-    return F.regexp_replace(F.translate(widened, src, dst), r"[^\x00-\x7F]", "")
+    plain = F.translate(text, src, dst)
+    present = F.array_distinct(F.regexp_extract_all(plain, F.lit(f"({signs})")))
+    widened = F.aggregate(present, plain, lambda out, c: F.replace(out, c, lookup[c]))
+    left = plain.rlike(r"[^\x00-\x7F]")
+    return F.when(left, F.regexp_replace(widened, r"[^\x00-\x7F]", "")).otherwise(plain)
 
 
 def normalise_text(text: Column, abbreviations=ABBREVIATIONS) -> Column:

@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from campuslens.operators.relational import KEY, Tables, wide_enrolment
 from campuslens.vocabulary import MAX_GRADE
 
-ONE = F.lit(1)
 
 
 def control(name: str, df: DataFrame, value: Column | None = None) -> DataFrame:
     """One row (control, valor)."""
-    value = F.count(ONE) if value is None else F.coalesce(value, F.lit(0))
+    value = F.count(F.lit(1)) if value is None else F.coalesce(value, F.lit(0))
     return df.agg(value.cast("bigint").alias("valor")).select(F.lit(name).alias("control"), "valor")
 
 
@@ -54,24 +53,24 @@ def orphan_enrolments(t: Tables) -> DataFrame:
 
 
 def duplicate_groups(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(ONE).alias("n")).where(F.col("n") > 1)
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
 def table_counts(t: Tables) -> DataFrame:
-    return stack([df.agg(F.count(ONE).alias("filas")).select(F.lit(n).alias("tabla"), "filas")
+    return stack([df.agg(F.count(F.lit(1)).alias("filas")).select(F.lit(n).alias("tabla"), "filas")
                   for n, df in t.named().items()])
 
 
 def integrity_report(t: Tables, expected: dict[str, int] | None = None) -> DataFrame:
     """I-01 to I-11 with expected values; ``None`` expectations follow from the tables."""
     grade = F.col("nota")
-    per_student = t.matricula.groupBy("estudiante_id").agg(F.count(ONE).alias("n"))
+    per_student = t.matricula.groupBy("estudiante_id").agg(F.count(F.lit(1)).alias("n"))
     found = stack([
         control("I-01 estudiantes", t.estudiante),
         controls(per_student, {"I-02 matriculas": F.sum("n"),
                                "I-07 estudiantes_en_ambas": count_where(F.col("n") == 2)}),
         controls(t.calificacion, {
-            "I-03 calificaciones": F.count(ONE),
+            "I-03 calificaciones": F.count(F.lit(1)),
             "I-08 notas_fuera_dominio": count_where(~grade.between(0, MAX_GRADE)),
             "I-09 calificaciones_no_evaluadas": count_where(F.col("no_evaluado"))}),
         control("I-04 matriculas_sin_3_notas", not_three_grades(t)),
@@ -101,7 +100,7 @@ def require(report: DataFrame) -> None:
 
 def foreign_key(name: str, child: DataFrame, parent: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key is missing in the parent, counted over distinct keys first."""
-    per_key = child.groupBy(*keys).agg(F.count(ONE).alias("n"))
+    per_key = child.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return control(name, per_key.join(parent.select(*keys), keys, "left_anti"), F.sum("n"))
 
 

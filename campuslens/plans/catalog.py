@@ -1,6 +1,11 @@
 """All registered queries."""
 
-from campuslens.plans import document_queries, register_queries  # noqa: F401
+from campuslens.plans import (  # noqa: F401
+    document_queries,
+    register_queries,
+    source_queries,
+    text_queries,
+)
 from campuslens.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
