@@ -4,6 +4,7 @@ from campuslens.plans import (  # noqa: F401
     analysis_queries,
     document_queries,
     identity_queries,
+    model_queries,
     register_queries,
     source_queries,
     text_queries,
