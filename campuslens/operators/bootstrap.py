@@ -93,7 +93,7 @@ def poisson_one(seed: Column) -> Column:
     """Poisson(1) weight from a hash, by inverting the distribution function."""
     u = (F.pmod(seed, F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
     out, total, mass = F.lit(0), 0.0, math.exp(-1)
-    for k in range(18):
+    for k in range(14):
         total += mass
         out = out + (u > total).cast("int")
         mass /= k + 1

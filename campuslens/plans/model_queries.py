@@ -127,16 +127,25 @@ def oof_metrics(spark, sf):
     """Logistic regression in all six scenarios: fold summary, threshold, test metrics."""
     train, test = parts(spark, sf)
     train = L.with_folds(train)
-    return K.stack([L.evaluate(train, test, s, L.LOGISTIC) for s in SCENARIOS.values()])
+    return L.evaluate_all(train, test, list(SCENARIOS.values()), L.LOGISTIC)
 
 
 @query("model_metrics")
 def model_metrics(spark, sf):
-    """Four models fitted at the first cut and compared on the test rows."""
-    train, test = parts(spark, sf)
+    """Baseline, logistic and forest fitted at the first cut and compared on the test rows."""
+    return compare_models(*parts(spark, sf), (L.PRIOR, L.LOGISTIC, L.FOREST))
+
+
+@query("boosting_metrics")
+def boosting_metrics(spark, sf):
+    """Boosted trees (200 steps) against the baseline."""
+    return compare_models(*parts(spark, sf), (L.PRIOR, L.BOOSTING))
+
+
+def compare_models(train, test, models):
     out = test
     names = {}
-    for i, m in enumerate((L.PRIOR, L.LOGISTIC, L.FOREST, L.BOOSTING)):
+    for i, m in enumerate(models):
         out = L.fit(train, SCENARIOS["A_corte_P1"], m).score(out, f"p{i}")
         names[f"p{i}"] = m
     long = L.materialise(out, "scored").select("en_riesgo", F.explode(F.array(*[
@@ -148,8 +157,9 @@ def model_metrics(spark, sf):
 
 @query("cluster_bootstrap_auc")
 def cluster_bootstrap_auc(spark, sf):
-    """AUC interval by supplier clusters of a price score."""
-    return S.cluster_auc_ci(price_scores(spark, sf), "p", "y", "l_suppkey")
+    """AUC interval of the quantity share, clustered by line number and status."""
+    rows = share_scores(spark, sf).withColumn("g", F.concat_ws("/", "l_linestatus", "l_linenumber"))
+    return S.cluster_auc_ci(rows, "p", "y", "g")
 
 
 PAIRS = [("A_mas_sim", "A_corte_P1"), ("C_mas_sim", "C_matricula"), ("A_mas_faltas", "A_corte_P1"),
@@ -179,10 +189,10 @@ def leakage_counterfactual(spark, sf):
 
 @query("permutation_importance")
 def permutation_importance(spark, sf):
-    """AUC drop per predictor of the forest on the test rows, 30 repeats."""
+    """AUC drop per predictor of the boosted trees on the test rows, 30 repeats."""
     train, test = parts(spark, sf)
     scenario = SCENARIOS["A_corte_P1"]
-    fitted = L.fit(train, scenario, L.FOREST)
+    fitted = L.fit(train, scenario, L.BOOSTING)
     return L.permutation_importance(fitted, test, scenario.predictors)
 
 
