@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from campuslens.operators.running import dense_numbers
-from campuslens.session import materialise
+from campuslens.session import materialise, spark_cores
 
 
 def profiles(rows: DataFrame, side: Column, row_id: str, columns: list[str]) -> DataFrame:
@@ -95,30 +95,46 @@ EVIDENCE = ["fila_a", "fila_b", "coincidencias", "n_pares", "aceptado", "candida
             "candidatos_b", "etapa"]
 
 
-def _solve_block(keys: list[str], attributes: list[str], threshold: int):
+BLOCKS_PER_GROUP = 2_000
+
+
+def _solve_one(rows: list[tuple], threshold: int) -> list[tuple]:
+    """Assignment inside one block; a row is (attributes, n_a, n_b, fila_a, fila_b)."""
+    left = [r for r in rows if r[1] > r[2]]
+    right = [r for r in rows if r[2] > r[1]]
+
+    def agreement(a, b):
+        return sum(x == y for x, y in zip(a[0], b[0]))
+    score = np.array([[agreement(a, b) for b in right] for a in left])
+    flow = assign(score, np.array([r[1] - r[2] for r in left]),
+                  np.array([r[2] - r[1] for r in right]))
+    total_a, total_b = sum(r[1] for r in rows), sum(r[2] for r in rows)
+    out = []
+    for i, j in zip(*np.nonzero(flow)):
+        a, b, s = left[i], right[j], int(score[i, j])
+        once = s >= threshold and sum(r[2] for r in rows if agreement(a, r) == s) == 1 \
+            and sum(r[1] for r in rows if agreement(b, r) == s) == 1
+        out.append((a[3] if a[1] == 1 else None, b[4] if b[2] == 1 else None, s,
+                    int(flow[i, j]), bool(once), int(total_a), int(total_b), 2))
+    return out
+
+
+def _solve_blocks(keys: list[str], attributes: list[str], threshold: int):
+    """Solver for a batch of whole blocks (many are tiny, so one call takes many)."""
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["fila_a", "fila_b"], kind="stable").reset_index(drop=True)
-        values = pdf[attributes].astype(object).where(pdf[attributes].notna(), None)
-        codes = np.column_stack([pd.factorize(values[c], use_na_sentinel=False)[0]
-                                 for c in attributes])
-        n_a, n_b = pdf.n_a.to_numpy(), pdf.n_b.to_numpy()
-        rest_a, rest_b = np.maximum(n_a - n_b, 0), np.maximum(n_b - n_a, 0)
-        rows, cols = np.flatnonzero(rest_a), np.flatnonzero(rest_b)
-        score = (codes[rows, None, :] == codes[None, cols, :]).sum(axis=2)
-        flow = assign(score, rest_a[rows], rest_b[cols])
+        plain = pdf.astype(object).where(pdf.notna(), None)
+        found: dict[tuple, list] = {}
+        columns = [plain[c].tolist() for c in
+                   [*keys, *attributes, "n_a", "n_b", "fila_a", "fila_b"]]
+        width = len(keys)
+        for row in zip(*columns):
+            found.setdefault(row[:width], []).append((row[width:-4], *row[-4:]))
         out = []
-        for r, c in zip(*np.nonzero(flow)):
-            i, j, s = rows[r], cols[c], int(score[r, c])
-            same_row = n_b[(codes[i] == codes).sum(axis=1) == s].sum()
-            same_col = n_a[(codes[j] == codes).sum(axis=1) == s].sum()
-            out.append((
-                pdf.fila_a[i] if n_a[i] == 1 else None, pdf.fila_b[j] if n_b[j] == 1 else None,
-                s, int(flow[r, c]), bool(s >= threshold and same_row == 1 and same_col == 1),
-                int(n_a.sum()), int(n_b.sum()), 2))
-        result = pd.DataFrame(out, columns=EVIDENCE)
-        for k in keys:
-            result[k] = pdf[k].iloc[0]
-        return result[keys + EVIDENCE].astype({"fila_a": "Int64", "fila_b": "Int64"})
+        for key, rows in found.items():
+            rows.sort(key=lambda r: (r[3] is None, r[3] or 0, r[4] or 0))
+            out.extend((*key, *e) for e in _solve_one(rows, threshold))
+        result = pd.DataFrame(out, columns=keys + EVIDENCE)
+        return result.astype({"fila_a": "Int64", "fila_b": "Int64"})
     return solve
 
 
@@ -170,8 +186,10 @@ def identity_evidence(rows: DataFrame, side: Column, row_id: str, keys: list[str
         T.StructField("coincidencias", T.IntegerType()), T.StructField("n_pares", T.LongType()),
         T.StructField("aceptado", T.BooleanType()), T.StructField("candidatos_a", T.LongType()),
         T.StructField("candidatos_b", T.LongType()), T.StructField("etapa", T.IntegerType())])
-    several = (every.join(open_blocks.select(*keys), keys, "left_semi")
-               .groupBy(*keys).applyInPandas(_solve_block(keys, attributes, threshold), schema))
+    contested = materialise(every.join(open_blocks.select(*keys), keys, "left_semi"), "contested")
+    groups = max(contested.count() // BLOCKS_PER_GROUP, spark_cores(rows))
+    several = contested.groupBy(F.pmod(F.xxhash64(*keys), F.lit(groups)).alias("_g")) \
+        .applyInPandas(_solve_blocks(keys, attributes, threshold), schema)
     return equal.unionByName(ones).unionByName(several)
 
 

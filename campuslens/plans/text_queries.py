@@ -8,6 +8,7 @@ from campuslens.functions import text as T
 from campuslens.operators import documents as D
 from campuslens.plans import testbed as B
 from campuslens.plans.registry import query
+from campuslens.session import spread
 
 NONE = "indeterminada"
 
@@ -33,8 +34,8 @@ B.CTES["categorias"] = (["normales", "palabras"], f"""
 
 
 def normal_notes(spark, sf):
-    return B.notes(spark, sf).select("nota_id", "alerta_id", "lang", "nivel",
-                                     T.normalise_text(F.col("text")).alias("norm"))
+    return spread(B.notes(spark, sf)).select("nota_id", "alerta_id", "lang", "nivel",
+                                             T.normalise_text(F.col("text")).alias("norm"))
 
 
 def categorised(spark, sf):

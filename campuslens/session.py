@@ -55,3 +55,14 @@ def bounded(df: DataFrame, label: str, max_rows: int = MAX_BROADCAST_ROWS) -> Da
     above it the join stays a shuffle join, which adaptive execution can split on skew."""
     saved = materialise(df, label)
     return F.broadcast(saved) if saved.count() <= max_rows else saved
+
+
+def spark_cores(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out over all cores when the source has fewer splits than that (one small
+    file); a table with many splits passes unchanged."""
+    cores = spark_cores(df)
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
