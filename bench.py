@@ -16,6 +16,7 @@ from campuslens.operators.documents import lms_activity  # noqa: E402
 from campuslens.operators.reshape import replicate  # noqa: E402
 from campuslens.plans.catalog import QUERIES  # noqa: E402
 from campuslens.plans.document_queries import cleaned  # noqa: E402
+from campuslens.plans.testbed import ACTIVITY_PERIODS  # noqa: E402
 from campuslens.session import local_session, materialise, spread  # noqa: E402
 
 HEADLINE = ["lms_activity", "clean_events", "rule_ledger", "build_followup_docs",
@@ -49,7 +50,7 @@ def main() -> None:
     for target in TARGET_ROWS:
         k = max(1, round(target / rows))
         big = replicate(base, k, "estudiante_id", 1_000_000_000).drop("copia")
-        seconds = run(lms_activity(big))
+        seconds = run(lms_activity(big, periods=ACTIVITY_PERIODS))
         times[f"activity_x{k}"] = seconds
         print(f"activity_x{k}", seconds, file=sys.stderr, flush=True)
         rates[f"activity_x{k}"] = {"rows": rows * k, "rows_per_s": round(rows * k / seconds)}

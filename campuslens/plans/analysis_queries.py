@@ -69,7 +69,7 @@ B.CTES["factores"] = (["datos"], """
 def integrated(spark, sf) -> DataFrame:
     """Enrolments graded in all three periods, with their behaviour aggregates."""
     wide = R.wide_enrolment(B.tables(spark, sf)).dropna(subset=["nota_p1", "nota_p2", "nota_p3"])
-    return A.integrate(wide, D.lms_activity(cleaned(spark, sf).clean),
+    return A.integrate(wide, D.lms_activity(cleaned(spark, sf).clean, periods=B.ACTIVITY_PERIODS),
                        D.sessions_per_enrolment(B.sessions(spark, sf)),
                        D.alerts_per_enrolment(B.alerts(spark, sf)))
 

@@ -28,7 +28,7 @@ def cleaned_sessions(spark, sf) -> C.CleanedSessions:
 
 @query("lms_activity", B.sql("SELECT * FROM actividad", "actividad"))
 def lms_activity(spark, sf):
-    return D.lms_activity(cleaned(spark, sf).clean)
+    return D.lms_activity(cleaned(spark, sf).clean, periods=B.ACTIVITY_PERIODS)
 
 
 @query("lms_totals", B.sql("""

@@ -125,3 +125,14 @@ def test_pure_functions(spark):
     for r in df.withColumn("y", categorise(F.col("x"))).collect():
         assert (r["x"], r["y"]) == (r["n"], r["c"])
     assert df.where(mentions(F.col("x"), ABSENCE_STEMS)).count() == 1
+
+
+def test_active_days_over_a_whole_period(spark):
+    days = spark.sql("SELECT explode(sequence(date'2005-09-15', date'2005-12-16')) AS d").select(
+        F.lit(1).alias("estudiante_id"), F.lit("MAT").alias("asignatura"), F.lit("P1").alias("periodo"),
+        F.explode(F.array(F.lit(8), F.lit(15))).alias("h"), "d").select(
+        "*", F.col("d").cast("timestamp_ntz").alias("fecha"), F.lit("tarea").alias("tipo"),
+        F.lit(5).alias("duracion_min"), (F.col("h") == 8).alias("revisada"))
+    row = X.lms_activity(days).first()
+    assert (row["n_eventos"], row["minutos"], row["n_tareas"], row["n_tareas_revisadas"],
+            row["dias_activos"]) == (186, 930, 186, 93, 93)
