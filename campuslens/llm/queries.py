@@ -6,8 +6,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from campuslens.llm import decontaminate, language, mixing, simhash, token_file
+from pyspark.sql import functions as F
+
+from campuslens.llm import (
+    ball_tree,
+    chat,
+    decontaminate,
+    language,
+    mixing,
+    page_text,
+    simhash,
+    token_count,
+    token_file,
+)
 from campuslens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +28,10 @@ def op1_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.tokens_round_trip(table(spark, sf_dir, "documents"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.document_languages(table(spark, sf_dir, "documents"))
 
@@ -29,6 +44,27 @@ def op5_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+#: A conversation of control strings, added to the table's.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op6_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)],
+                                  turns.schema)
+    parts = turns.union(extra).select("conv_id", "turn", "role",
+                                      chat.text_part(F.col("text")).alias("parts"))
+    return chat.read_back(chat.format_chat(parts))
+
+
+def op7_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op9_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"),
                                        table(spark, sf_dir, "benchmark"))
@@ -36,9 +72,13 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_file": op1_token_file,
+    "op2_token_counts": op2_token_counts,
     "op3_language_mixture": op3_language_mixture,
     "op4_mix_sources": op4_mix_sources,
     "op5_simhash_covering": op5_simhash_covering,
+    "op6_chat_parts": op6_chat_parts,
+    "op7_page_text": op7_page_text,
+    "op9_ball_tree": op9_ball_tree,
     "op10_winnowing": op10_winnowing,
 }
 
