@@ -15,6 +15,7 @@ from campuslens.llm import (
     language,
     mixing,
     page_text,
+    repeats,
     simhash,
     token_count,
     token_file,
@@ -61,6 +62,10 @@ def op7_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op8_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op9_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_tree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op5_simhash_covering": op5_simhash_covering,
     "op6_chat_parts": op6_chat_parts,
     "op7_page_text": op7_page_text,
+    "op8_suffix_repeats": op8_suffix_repeats,
     "op9_ball_tree": op9_ball_tree,
     "op10_winnowing": op10_winnowing,
 }
