@@ -42,9 +42,11 @@ from campuslens.session import scratch_dir
 
 SPAN = 50
 GRAM = 26
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 1 << 20
 #: Anchors that a range of gram hashes holds on average, in both rounds.
-RANGE_ANCHORS = 1 << 18
+RANGE_ANCHORS = 1 << 17
+#: Bits of the gram and context hashes that are sent; both together name a class.
+_SENT = np.uint64((1 << 64) - (1 << 16))
 _LAST = np.iinfo(np.int64).max  # stands for a null id: above every id
 
 BLOCKS = T.StructType([
@@ -60,6 +62,23 @@ RESULT = T.StructType([
     T.StructField("kept_sha256", T.StringType()), T.StructField("kept", T.BinaryType())])
 
 
+def _planes(*arrays: np.ndarray) -> bytes:
+    """64-bit arrays byte by byte, so that equal high bytes compress away on the wire."""
+    return b"".join(x.view(np.uint8).reshape(-1, 8).T.tobytes() for x in arrays)
+
+
+def _from_planes(packet: bytes, arrays: int) -> np.ndarray:
+    planes = np.frombuffer(packet, np.uint8).reshape(arrays, 8, -1)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.uint64)[:, :, 0]
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One row at a time; each holds a block of text."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            yield batch.slice(at, 1).to_pylist()[0]
+
+
 def _batch(schema: T.StructType, rows: list[tuple]) -> pa.RecordBatch:
     from pyspark.sql.pandas.types import to_arrow_type
     columns = list(zip(*rows, strict=True)) or [[] for _ in schema.fields]
@@ -92,14 +111,14 @@ class Anchors:
         doc = np.repeat(np.arange(len(self.ids)), np.diff(offsets))
         rolling = RollingHash(BYTE_VALUES[self.data])
         starts = np.arange(n)
-        hashes = rolling.spans(starts, starts + gram) | np.uint64(1)
+        hashes = rolling.spans(starts, starts + gram) & _SENT | np.uint64(1 << 16)
         whole = offsets[1:][doc[:n]] - starts >= span
         at = np.flatnonzero(window_minima(hashes, span - gram + 1, whole))
         doc = doc[at]
         first = np.maximum(offsets[:-1][doc], at - (span - gram))
         last = np.minimum(offsets[1:][doc], at + span)
         context = mix64(rolling.spans(first, last) ^ (
-            (at - first).astype(np.uint64) << np.uint64(32) | (last - at).astype(np.uint64)))
+            (at - first).astype(np.uint64) << np.uint64(32) | (last - at).astype(np.uint64))) & _SENT
         order = np.lexsort((self.ids[doc], context, hashes[at]))
         self.at, self.doc, self.first, self.last = (x[order] for x in (at, doc, first, last))
         self.gram, self.context = hashes[at][order], context[order]
@@ -118,21 +137,20 @@ class Anchors:
 
 def _first_requests(ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                a = Anchors(row)
-                gram, context, ids = (x[a.heads] for x in (a.gram, a.context, a.ids[a.doc]))
-                bounds = a.ranges(gram, ranges)
-                yield _batch(PACKETS, [
-                    (r, row["block"], gram[b:e].tobytes() + context[b:e].tobytes() + ids[b:e].tobytes())
-                    for r, (b, e) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())) if e > b])
+        for row in _rows(batches):
+            a = Anchors(row)
+            gram, context, ids = (x[a.heads] for x in (a.gram, a.context, a.ids[a.doc]))
+            bounds = a.ranges(gram, ranges)
+            yield _batch(PACKETS, [
+                (r, row["block"], _planes(gram[b:e], context[b:e], ids[b:e]))
+                for r, (b, e) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())) if e > b])
     return run
 
 
 def _first_answers(key, group):
     """Per class of a block: 0 nothing to do, 1 a smaller document has the context, 2 the block has
     its smallest document and the gram has other contexts."""
-    packets = [np.frombuffer(p, np.uint64).reshape(3, -1) for p in group.column("packet").to_pylist()]
+    packets = [_from_planes(p, 3) for p in group.column("packet").to_pylist()]
     sizes = [p.shape[1] for p in packets]
     gram, context, ids = np.concatenate(packets, axis=1)
     ids = ids.view(np.int64)
@@ -165,23 +183,21 @@ def _first_codes(a: Anchors, answers: list[dict] | None) -> np.ndarray:
 def _second_requests(ranges: int):
     """Contexts of the classes that other contexts of their gram may cover in part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                row = batch.slice(at, 1).to_pylist()[0]
-                a = Anchors(row)
-                heads = a.heads[_first_codes(a, row["first"]) == 2]
-                bounds, out = a.ranges(a.gram[heads], ranges), []
-                for r, (b, e) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
-                    if e > b:
-                        h = heads[b:e]
-                        texts = [a.data[x:y].tobytes() for x, y in
-                                 zip(a.first[h].tolist(), a.last[h].tolist())]
-                        head = np.array([len(h)], "<u4").tobytes() + a.gram[h].tobytes() \
-                            + a.ids[a.doc[h]].tobytes() + (a.at[h] - a.first[h]).astype(np.uint8).tobytes() \
-                            + (a.last[h] - a.first[h]).astype(np.uint8).tobytes()
-                        out.append((r, row["block"], head + b"".join(texts)))
-                if out:
-                    yield _batch(PACKETS, out)
+        for row in _rows(batches):
+            a = Anchors(row)
+            heads = a.heads[_first_codes(a, row["first"]) == 2]
+            bounds, out = a.ranges(a.gram[heads], ranges), []
+            for r, (b, e) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+                if e > b:
+                    h = heads[b:e]
+                    texts = [a.data[x:y].tobytes() for x, y in
+                             zip(a.first[h].tolist(), a.last[h].tolist())]
+                    head = np.array([len(h)], "<u4").tobytes() + a.gram[h].tobytes() \
+                        + a.ids[a.doc[h]].tobytes() + (a.at[h] - a.first[h]).astype(np.uint8).tobytes() \
+                        + (a.last[h] - a.first[h]).astype(np.uint8).tobytes()
+                    out.append((r, row["block"], head + b"".join(texts)))
+            if out:
+                yield _batch(PACKETS, out)
     return run
 
 
@@ -252,7 +268,7 @@ def _second_answers(span: int = SPAN):
         width = -(-(2 * span - GRAM) // 8) * 8
         at = begin[owner] + place
         length = size[owner] - place
-        keys = text[at[:, None] + np.arange(width)]
+        keys = np.lib.stride_tricks.sliding_window_view(text, width)[at]
         keys[np.arange(width) >= length[:, None]] = 0
         before = np.where(place > 0, text[np.maximum(at - 1, 0)].astype(np.int64), -1)
         for repeat, suffixes in maximal_repeats(keys, length, gram[owner], before, span):
@@ -268,36 +284,34 @@ def _second_answers(span: int = SPAN):
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for k in range(batch.num_rows):
-            row = batch.slice(k, 1).to_pylist()[0]
-            a = Anchors(row)
-            codes = _first_codes(a, row["first"])
-            edge = np.zeros(len(a.data) + 1, np.int64)
-            own = a.ids[a.doc]
-            gone = (codes[a.klass] == 1) | (own > own[a.heads][a.klass])
-            np.add.at(edge, a.first[gone], 1)
-            np.add.at(edge, a.last[gone], -1)
-            parts = sorted(row["second"] or [], key=lambda x: x["range"])
-            reach = np.frombuffer(b"".join(p["packet"] for p in parts), np.uint8).reshape(-1, 2)
-            some = reach[:, 1] > 0
-            heads = a.heads[codes == 2][some]
-            np.add.at(edge, a.at[heads] - reach[some, 0], 1)
-            np.add.at(edge, a.at[heads] + reach[some, 1], -1)
-            removed = np.cumsum(edge[:-1]) > 0
-            rise = removed.copy()
-            rise[1:] &= ~removed[:-1]
-            begins = a.offsets[:-1][np.diff(a.offsets) > 0]
-            rise[begins] = removed[begins]
-            total = np.concatenate([[0], np.cumsum(removed)])
-            spans = np.concatenate([[0], np.cumsum(rise)])
-            nulls = np.frombuffer(row["nulls"], bool)
-            out = []
-            for i, (b, e) in enumerate(zip(a.offsets[:-1].tolist(), a.offsets[1:].tolist())):
-                kept = a.data[b:e][~removed[b:e]].tobytes()
-                out.append((None if nulls[i] else int(a.ids[i]), e - b, int(total[e] - total[b]),
-                            int(spans[e] - spans[b]), hashlib.sha256(kept).hexdigest(), kept))
-            yield _batch(RESULT, out)
+    for row in _rows(batches):
+        a = Anchors(row)
+        codes = _first_codes(a, row["first"])
+        edge = np.zeros(len(a.data) + 1, np.int64)
+        own = a.ids[a.doc]
+        gone = (codes[a.klass] == 1) | (own > own[a.heads][a.klass])
+        np.add.at(edge, a.first[gone], 1)
+        np.add.at(edge, a.last[gone], -1)
+        parts = sorted(row["second"] or [], key=lambda x: x["range"])
+        reach = np.frombuffer(b"".join(p["packet"] for p in parts), np.uint8).reshape(-1, 2)
+        some = reach[:, 1] > 0
+        heads = a.heads[codes == 2][some]
+        np.add.at(edge, a.at[heads] - reach[some, 0], 1)
+        np.add.at(edge, a.at[heads] + reach[some, 1], -1)
+        removed = np.cumsum(edge[:-1]) > 0
+        rise = removed.copy()
+        rise[1:] &= ~removed[:-1]
+        begins = a.offsets[:-1][np.diff(a.offsets) > 0]
+        rise[begins] = removed[begins]
+        total = np.concatenate([[0], np.cumsum(removed)])
+        spans = np.concatenate([[0], np.cumsum(rise)])
+        nulls = np.frombuffer(row["nulls"], bool)
+        out = []
+        for i, (b, e) in enumerate(zip(a.offsets[:-1].tolist(), a.offsets[1:].tolist())):
+            kept = a.data[b:e][~removed[b:e]].tobytes()
+            out.append((None if nulls[i] else int(a.ids[i]), e - b, int(total[e] - total[b]),
+                        int(spans[e] - spans[b]), hashlib.sha256(kept).hexdigest(), kept))
+        yield _batch(RESULT, out)
 
 
 def remove_repeats(docs: DataFrame, ranges: int | None = None) -> DataFrame:
