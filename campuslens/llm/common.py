@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from campuslens.session import scratch_dir
 
 #: Text bytes that one numpy pass works on, whatever the size of an Arrow batch.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 #: Blank bytes of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANK = r"\x20\x09-\x0D"
 

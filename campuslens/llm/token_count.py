@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 VOCABULARY = "piece_bpe_32k.model"
 UNKNOWN_PENALTY = 10.0
 #: Distinct segments that one worker remembers; later ones are solved again.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 300_000
 _BLANK = "▁"
 
 COUNTS = [T.StructField("n_tokens", T.LongType()), T.StructField("score", T.DoubleType())]

@@ -36,7 +36,7 @@ END_ID = 2
 BLOCK_TOKENS = 1 << 18
 SAMPLE = 64
 #: Distinct pre-tokens that one worker remembers; later ones are encoded again.
-CACHE_ENTRIES = 900_000
+CACHE_ENTRIES = 400_000
 _HEAD = struct.Struct("<IQBBIII")
 
 BLOCK_SCHEMA = T.StructType([
