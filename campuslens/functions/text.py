@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 from functools import lru_cache
 
@@ -23,6 +24,7 @@ LEXICON = {
     "conducta": ["conducta", "disruptiv", "conflicto", "companero", "llamado"],
     "motivacion": ["motivacion", "desinteres", "desanimo", "meta", "continuar"],
 }
+BLANKS = r"[\s\x1c-\x1f\x85\p{Z}]"
 UNDETERMINED = "indeterminada"
 # Spanish stems of the saved search "inasistencias ausencias faltas".
 ABSENCE_STEMS = ["inasisten", "ausenci", "falt"]
@@ -33,9 +35,9 @@ def _ascii_folding() -> tuple[str, str, dict[str, str]]:
     """Compatibility decomposition without its non-ASCII part, as (from, to, multi-letter map);
     ``from`` is longer than ``to``: its tail is deleted.
 
-    Derived from the Unicode database for every code point of the basic plane."""
+    Derived from the Unicode database for every code point of all planes."""
     src, dst, dropped, multi = [], [], [], {}
-    for code in range(0x80, 0x10000):
+    for code in range(0x80, sys.maxunicode + 1):
         ch = chr(code)
         if unicodedata.category(ch) in ("Cs", "Cn", "Co"):
             continue
@@ -108,9 +110,14 @@ def mentions(normalised: Column, stems) -> Column:
     return normalised.rlike("(?<![^ ])(?:" + "|".join(re.escape(s) for s in stems) + ")")
 
 
+def strip_blanks(value: Column) -> Column:
+    """Blanks of every kind (tabs, line ends, Unicode spaces) off both ends."""
+    return F.regexp_replace(value, rf"^{BLANKS}+|{BLANKS}+$", "")
+
+
 def standardise(value: Column, catalogue_map: dict[str, str], fold: bool = False) -> Column:
     """Trimmed lower-case code mapped to the catalogue; unmapped codes stay as they are."""
-    clean = F.lower(F.trim(value))
+    clean = F.lower(strip_blanks(value))
     if fold:
         clean = fold_ascii(clean)
     lookup = F.create_map(*[F.lit(x) for pair in catalogue_map.items() for x in pair])

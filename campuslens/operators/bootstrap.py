@@ -102,16 +102,20 @@ def poisson_one(seed: Column) -> Column:
 
 def cluster_auc_draws(df: DataFrame, scores: list[str], label: str, cluster: str,
                       replicates: int = REPLICATES, seed: int = SEED,
-                      decimals: int = 4) -> DataFrame:
+                      decimals: int | None = None) -> DataFrame:
     """AUC of each score in every cluster-bootstrap replicate (one-class replicates drop out).
 
     One hash weight per cluster and replicate; rows explode over the replicates inside the
-    map stage and leave it as (score name, replicate, rounded score) sums. Scores are rounded
-    to ``decimals`` so that the sums stay bounded."""
+    map stage and leave it as (score name, replicate, score) sums. Scores are kept as they
+    are unless ``decimals`` asks for rounding, which makes ties."""
     numbers = F.sequence(F.lit(0), F.lit(replicates - 1))
     y = F.col(label).cast("int")
+
+    def value(s):
+        return F.col(s) if decimals is None else F.round(F.col(s), decimals)
+
     packed = df.select(F.col(cluster), F.explode(F.array(*[
-        F.struct(F.lit(s).alias("modelo"), F.round(F.col(s), decimals).alias("p"))
+        F.struct(F.lit(s).alias("modelo"), value(s).alias("p"))
         for s in scores])).alias("x"), y.alias("y")).select(cluster, "x.*", "y") \
         .groupBy(cluster, "modelo", "p").agg(F.sum("y").alias("pos"),
                                              F.sum(1 - F.col("y")).alias("neg"))
@@ -121,7 +125,7 @@ def cluster_auc_draws(df: DataFrame, scores: list[str], label: str, cluster: str
         F.sum(F.col("pos") * F.col("_w")).alias("pos"),
         F.sum(F.col("neg") * F.col("_w")).alias("neg"))
     keys = ["modelo", "replica"]
-    swept = running_sums(sums, keys, "p", ["neg"], small_domain=True)
+    swept = running_sums(sums, keys, "p", ["neg"], small_domain=decimals is not None)
     area = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2))
     return swept.groupBy(*keys).agg(
         (area / F.nullif((F.sum("pos") * F.max("neg_all")).cast("double"), F.lit(0.0)))

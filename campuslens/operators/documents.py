@@ -22,10 +22,14 @@ def lms_activity(events: DataFrame, keys=("estudiante_id", "asignatura", "period
                  periods=SCHOOL_YEAR) -> DataFrame:
     """AG-01: events, minutes, tasks, reviewed tasks, distinct active days.
 
-    A period has a known number of days, so the active days of a group are bits of a few
+    A period has a known number of days (without the period among ``keys`` the span runs from
+    the first to the last day of all periods), so the active days of a group are bits of a few
     64-bit words: one hash aggregation with fixed-width buffers and one shuffle, and a
     dominant key leaves each task as a single row."""
-    span = max((p.end - p.start).days + 1 for p in periods)
+    if "periodo" in keys:
+        span = max((p.end - p.start).days + 1 for p in periods)
+    else:
+        span = (max(p.end for p in periods) - min(p.start for p in periods)).days + 1
     words = -(-span // 64)
     placed = events.withColumn("_pos", F.pmod(F.unix_date(F.to_date("fecha")), F.lit(words * 64)))
     bit = F.expr("shiftleft(1L, _pos % 64)")

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from campuslens import vocabulary as V
@@ -17,10 +17,13 @@ from campuslens.operators import documents as D
 from campuslens.operators import identity as I
 from campuslens.operators.relational import Tables, unpivot_grades, wide_enrolment
 from campuslens.operators.reshape import label, yes_no
-from campuslens.session import materialise
+from campuslens.session import bounded, materialise
 from campuslens.sources import json as J
 from campuslens.sources.register import read_register
 
+ROW_ID = "_fila"
+LINE_BITS = 40  # lines of one file
+
 
 def diagnose(register: DataFrame) -> DataFrame:
     """R-02, R-04 and R-05 counts; any domain violation aborts."""
@@ -32,11 +35,47 @@ def diagnose(register: DataFrame) -> DataFrame:
 
 
 def resolve(register: DataFrame) -> DataFrame:
-    """R-12: register rows with ``estudiante_id``; POR numbers first, MAT rows inherit."""
-    evidence = I.identity_evidence(register, F.col("asignatura") == "MAT", "fila_origen",
+    """R-12: register rows with ``estudiante_id``; POR numbers first, MAT rows inherit. Rows are
+    told apart by file and line over all files of both registers."""
+    rows = materialise(numbered(register), "numerado")
+    evidence = I.identity_evidence(rows, F.col("asignatura") == "MAT", ROW_ID,
                                    V.IDENTITY_KEY, V.PERSONAL_ATTRIBUTES, V.MIN_AGREEMENT)
-    return I.identity_ids(register, F.col("asignatura") == "MAT", "fila_origen",
-                          materialise(evidence, "evidencia"))
+    ids = materialise(I.identity_ids(rows, F.col("asignatura") == "MAT", ROW_ID,
+                                     materialise(evidence, "evidencia")), "identificado")
+    before, after = rows.count(), ids.count()
+    if before != after:
+        raise ValueError(f"identity resolution made {after} rows of {before}")
+    return ids.drop(ROW_ID)
+
+
+def numbered(register: DataFrame) -> DataFrame:
+    """A number for every row: place of its file among all files, then its line. The files are
+    one row each."""
+    files = register.select("ruta_origen").distinct().select(
+        "ruta_origen", F.row_number().over(Window.orderBy("ruta_origen")).alias("_archivo"))
+    place = F.shiftleft(F.col("_archivo").cast("bigint"), LINE_BITS)
+    return register.join(bounded(files, "archivos"), "ruta_origen").withColumn(
+        ROW_ID, place + F.col("fila_origen")).drop("_archivo")
+
+
+def unmatched(ids: DataFrame) -> DataFrame:
+    """Rows whose student occurs once: the ones that a near miss may concern."""
+    single = ids.groupBy("estudiante_id").agg(F.count(F.lit(1)).alias("_n")).where("_n = 1")
+    return ids.join(single.select("estudiante_id"), "estudiante_id", "left_semi")
+
+
+def register_near_misses(ids: DataFrame) -> DataFrame:
+    """R-12b over the unmatched rows of a resolved register."""
+    rows = numbered(unmatched(ids))
+    return I.near_misses(rows, F.col("asignatura") == "MAT", ROW_ID,
+                         [*V.IDENTITY_KEY, *V.PERSONAL_ATTRIBUTES])
+
+
+def assert_closed(df: DataFrame, column: str, catalogue: list[str], rule: str) -> None:
+    """R-20 and R-23: a value outside its closed catalogue ends the load."""
+    outside = C.off_catalogue(df, column, catalogue).first()[0]
+    if outside:
+        raise ValueError(f"{rule}: {outside} values of {column} outside the catalogue")
 
 
 def dimension(spark: SparkSession, names: dict[str, str], key: str) -> DataFrame:
@@ -115,6 +154,8 @@ def clean_behaviour(spark: SparkSession, events_path: str, sessions_path: str, a
     events = C.clean_events(with_moments(log, "fecha"), enrolled, periods)
     talks = with_moments(J.read_json_lines(spark, sessions_path, J.SESSION_SCHEMA, None), "fecha")
     sessions = C.clean_sessions(talks, enrolled, periods)
+    assert_closed(events.clean, "tipo", V.EVENT_TYPES, "R-20")
+    assert_closed(sessions.clean, "resultado", V.SESSION_RESULTS, "R-23")
     raw = C.mark_orphans(J.read_json_array(spark, alerts_path, J.ALERT_SCHEMA), enrolled)
     columns = [c for c in raw.columns if c != "_huerfano"]
     bad = C.quarantined(raw.where("_huerfano"), "alertas", F.lit("R-17"), columns)

@@ -6,14 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from campuslens.functions.text import strip_blanks
 from campuslens.session import bounded
 from campuslens.vocabulary import NUMERIC_DOMAINS, REGISTER_COLUMNS
 
 
 def strict_int(column: str) -> Column:
     """Integer from text that may carry quotes and blanks; anything else aborts the job."""
-    plain = F.replace(F.trim(F.col(column)), F.lit('"'), F.lit(""))
-    number = F.expr(f"try_cast(replace(trim(`{column}`), '\"', '') AS INT)")
+    plain = F.replace(strip_blanks(F.col(column)), F.lit('"'), F.lit(""))
+    number = plain.try_cast("int")
     return F.when(F.col(column).isNull() | number.isNotNull(), number).otherwise(
         F.raise_error(F.concat(F.lit(f"{column}: not an integer: "), plain)).cast("int"))
 
@@ -37,8 +38,9 @@ def read_text_columns(spark: SparkSession, path: str, columns: list[str], sep: s
 
 
 def with_lineage(raw: DataFrame, line: str = "fila_origen", file: str = "archivo_origen",
-                 first_line: int = 2) -> DataFrame:
-    """File name and line number of every row (first data line = 2).
+                 first_line: int = 2, path: str | None = None) -> DataFrame:
+    """File name and line number of every row (first data line = 2), and on request its whole
+    path: names and line numbers repeat when a register is several files.
 
     Rows keep their order inside a file split. Numbers inside a split come from the row
     position of the task; only one row per split is needed to shift them."""
@@ -53,13 +55,17 @@ def with_lineage(raw: DataFrame, line: str = "fila_origen", file: str = "archivo
     offsets = bounded(splits.select("_path", "_start", "_first", F.coalesce(
         F.sum("_size").over(earlier), F.lit(0)).alias("_before")), "splits")
     number = F.col("_pos") - F.col("_first") + F.col("_before") + first_line
-    return (placed.join(offsets, ["_path", "_start"]).withColumn(line, number)
-            .drop("_path", "_start", "_pos", "_first", "_before"))
+    numbered = placed.join(offsets, ["_path", "_start"]).withColumn(line, number)
+    if path:
+        numbered = numbered.withColumn(path, F.col("_path"))
+    return (numbered.drop("_path", "_start", "_pos", "_first", "_before"))
 
 
 def read_register(spark: SparkSession, path: str, subject: str) -> DataFrame:
-    """One register file: 33 typed columns plus subject, file and line."""
-    raw = with_lineage(read_text_columns(spark, path, REGISTER_COLUMNS))
+    """One register (a file or a folder of files): 33 typed columns plus subject, file, line and
+    path."""
+    raw = with_lineage(read_text_columns(spark, path, REGISTER_COLUMNS), path="ruta_origen")
     typed = [strict_int(c).alias(c) if c in NUMERIC_DOMAINS else F.col(c)
              for c in REGISTER_COLUMNS]
-    return raw.select(F.lit(subject).alias("asignatura"), "archivo_origen", "fila_origen", *typed)
+    return raw.select(F.lit(subject).alias("asignatura"), "archivo_origen", "fila_origen",
+                      "ruta_origen", *typed)
