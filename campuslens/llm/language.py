@@ -26,7 +26,7 @@ DROP_ROUNDS = 4
 FOLDS, HELD_OUT = 5, 0
 UNKNOWN = "und"
 #: Bytes of a piece of text; the trigram arrays are some 60 times as large.
-TEXT_BYTES = 1 << 20
+TEXT_BYTES = 1 << 19
 _CHUNK = 1024
 
 _B = np.arange(256)
