@@ -1,7 +1,7 @@
 """Headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
-The ``activity_x*`` entries replicate the cleaned log k-fold with fresh students and time the
-activity aggregation alone, the counterpart of the published single-node series."""
+The ``activity_x*`` entries replicate the cleaned log k-fold with fresh students, write it, and
+time reading and aggregating it, the counterpart of the published single-node series."""
 
 from __future__ import annotations
 
@@ -49,7 +49,7 @@ def main() -> None:
     rows = base.count()
     for target in TARGET_ROWS:
         k = max(1, round(target / rows))
-        big = replicate(base, k, "estudiante_id", 1_000_000_000).drop("copia")
+        big = materialise(replicate(base, k, "estudiante_id", 1_000_000_000).drop("copia"), "log")
         seconds = run(lms_activity(big, periods=ACTIVITY_PERIODS))
         times[f"activity_x{k}"] = seconds
         print(f"activity_x{k}", seconds, file=sys.stderr, flush=True)

@@ -33,14 +33,17 @@ def any_blank(columns: list[str]) -> Column:
     return out
 
 
-def mark_orphans(rows: DataFrame, enrolments: DataFrame, flag: str = "_huerfano") -> DataFrame:
-    """Flags rows whose (student, subject) has no enrolment.
+def mark_orphans(rows: DataFrame, enrolments: DataFrame, flag: str = "_huerfano",
+                 keys_from: DataFrame | None = None) -> DataFrame:
+    """Flags rows whose (student, subject) has no enrolment. ``keys_from`` names a cheaper frame
+    with at least the keys of ``rows``.
 
     Only the distinct keys without enrolment travel: the rows themselves are not shuffled by
     a key that one student may dominate, unless the orphan set is too large to broadcast."""
     known = enrolments.select(*ENROLMENT)
+    source = rows if keys_from is None else keys_from
     orphans = bounded(
-        rows.select(*ENROLMENT).distinct().join(known, ENROLMENT, "left_anti")
+        source.select(*ENROLMENT).distinct().join(known, ENROLMENT, "left_anti")
         .where(F.col("estudiante_id").isNotNull() & F.col("asignatura").isNotNull())
         .withColumn(flag, F.lit(True)), "orphans")
     missing = F.col("estudiante_id").isNull() | F.col("asignatura").isNull()
@@ -111,7 +114,7 @@ def clean_events(events: DataFrame, enrolments: DataFrame, periods=SCHOOL_YEAR,
     """R-15 required fields, R-16 first copy, R-17 enrolment, R-18 calendar, R-19 period,
     R-20 type, R-21 negative minutes, R-22 cap."""
     columns = [c for c in events.columns if c != order]
-    first = mark_orphans(keep_first_events(events, order), enrolments)
+    first = mark_orphans(keep_first_events(events, order), enrolments, keys_from=events)
     judged = first.withColumns({
         "periodo": period_of(F.col("fecha"), periods),
         "_tipo": T.standardise(F.col("tipo"), EVENT_TYPE_MAP),

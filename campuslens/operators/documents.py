@@ -179,17 +179,23 @@ def build_followup_docs(students: DataFrame, events: DataFrame, sessions: DataFr
         F.lit(True).alias("es_simulado"), F.lit(source).alias("fuente"))
 
 
+DOCUMENT = ["estudiante_id", "periodo"]
+
+
 def volume_counts(docs: DataFrame, array: str, key: str) -> DataFrame:
-    """Documents, embedded items and distinct keys covered."""
-    return docs.agg(F.count(F.lit(1)).alias("documentos"),
+    """Documents (however many parts they have), embedded items and distinct keys covered."""
+    return docs.agg(F.count_if(F.col("parte") == 0).alias("documentos"),
                     F.coalesce(F.sum(F.size(array)), F.lit(0)).cast("bigint").alias("embebidos"),
                     F.countDistinct(key).alias("claves"))
 
 
-def doc_lookup(docs: DataFrame, where: Column, array: str, first: int = 2) -> DataFrame:
-    """One document by predicate with the first elements of its array."""
-    return docs.where(where).withColumn(array, F.slice(array, 1, first)).limit(1)
-
-
-def has_items(array: str, at_least: int) -> Column:
-    return F.size(array) >= at_least
+def doc_lookup(docs: DataFrame, where: Column, array: str, first: int = 2,
+               at_least: int = 0) -> DataFrame:
+    """The first document by key that meets a predicate on its keys and holds ``at_least`` items,
+    with the first elements of its array over all its parts."""
+    head = F.struct("parte", F.slice(array, 1, first).alias("h"))
+    whole = docs.where(where).groupBy(*DOCUMENT).agg(
+        F.sum(F.size(array)).alias("_n"), F.array_sort(F.collect_list(head)).alias("_h"))
+    items = F.slice(F.flatten(F.transform("_h", lambda p: p["h"])), 1, first)
+    return whole.where(F.col("_n") >= at_least).select(*DOCUMENT, items.alias(array)) \
+        .orderBy(*DOCUMENT).limit(1)

@@ -27,6 +27,8 @@ PRIOR, LOGISTIC, FOREST, BOOSTING = ("Línea base (prior)", "Regresión logísti
 
 
 ROWS_PER_TASK = 20_000
+#: Forest tasks at least; bags are drawn per partition, so the count must not hang on the machine.
+FOREST_PARTITIONS = 8
 PARALLEL_FITS = 4
 
 
@@ -38,7 +40,7 @@ def logistic(rows: int):
 
 def forest(rows: int):
     return RandomForestClassifier(labelCol=LABEL, numTrees=500, minInstancesPerNode=5,
-                                  featureSubsetStrategy="sqrt", maxDepth=15,
+                                  featureSubsetStrategy="sqrt", maxDepth=30,
                                   maxMemoryInMB=1024, seed=SEED)
 
 
@@ -75,13 +77,15 @@ def fit(train: DataFrame, scenario: Scenario, model: str):
         return Prior(train.agg(F.avg(LABEL)).first()[0])
     encoder = Encoder.fit(train, scenario)
     rows = train.count()
-    data = encoder.transform(train).select("features", F.col(LABEL).cast("double").alias(LABEL))
+    data = encoder.transform(train)
     # iterative fits run many short jobs: few rows need few tasks (a no-op on large tables)
-    cores = train.sparkSession.sparkContext.defaultParallelism
     if model != FOREST:
         data = data.coalesce(max(1, rows // ROWS_PER_TASK))
-    elif rows < cores * ROWS_PER_TASK:
-        data = data.repartition(cores)  # many deep trees: node statistics want every core
+    else:
+        key = [GROUP, "asignatura"]
+        data = data.repartition(max(FOREST_PARTITIONS, rows // ROWS_PER_TASK), *key) \
+            .sortWithinPartitions(*key)
+    data = data.select("features", F.col(LABEL).cast("double").alias(LABEL))
     return Fitted(encoder, MODELS[model](rows).fit(data))
 
 

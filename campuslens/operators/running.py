@@ -1,17 +1,19 @@
 """Ordered statistics over value histograms.
 
 Rows collapse to (group, value, counts) first. Running sums over the values are then taken
-in two levels: inside equal-width value slices, and over the slice totals. No window ever
-spans a whole group of rows, and a value shared by many rows is a single histogram row."""
+in two levels: inside value slices of about equal histogram size, and over the slice totals. No
+window ever spans a whole group of rows, and a value shared by many rows is a single histogram
+row. The sums do not depend on where the slices are cut."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from campuslens.session import bounded
+from campuslens.session import materialise
 
-SLICES = 1024
+#: Histogram rows of one slice on average, whatever the spread of the values.
+SLICE_ROWS = 1 << 16
 
 
 def histogram(df: DataFrame, group: list[str], value: str, **counts: Column) -> DataFrame:
@@ -22,8 +24,18 @@ def histogram(df: DataFrame, group: list[str], value: str, **counts: Column) ->
             .agg(*[F.sum(c.cast("bigint")).alias(k) for k, c in sums.items()]))
 
 
+def in_slices(saved: DataFrame, group: list[str], value: str, slice_rows: int) -> DataFrame:
+    """Adds ``_slice``: consecutive ranges of (group, value), cut where a sample of the histogram
+    puts equal shares of its rows, so that no tail or outlier fills one slice."""
+    slices = saved.count() // slice_rows + 1
+    if slices == 1:
+        return saved.withColumn("_slice", F.lit(0))
+    dealt = saved.repartitionByRange(slices, *group, value)
+    return materialise(dealt.withColumn("_slice", F.spark_partition_id()), "tramos")
+
+
 def running_sums(hist: DataFrame, group: list[str], value: str, sums: list[str],
-                 small_domain: bool = False, slices: int = SLICES) -> DataFrame:
+                 small_domain: bool = False, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Adds ``<s>_below`` (sum over smaller values) and ``<s>_all`` (group total) per sum.
 
     ``small_domain`` says that the values come from a short fixed scale (grades, flags), so
@@ -37,18 +49,7 @@ def running_sums(hist: DataFrame, group: list[str], value: str, sums: list[str],
             *[F.coalesce(F.sum(s).over(below), F.lit(0)).alias(f"{s}_below") for s in sums],
             *[F.sum(s).over(whole).alias(f"{s}_all") for s in sums])
 
-    spread = [F.min(value).cast("double").alias("_lo"), F.max(value).cast("double").alias("_hi")]
-    if group:
-        limits = bounded(hist.groupBy(*group).agg(*spread), "limits")
-        sliced = hist.join(limits, group)
-        low, high = F.col("_lo"), F.col("_hi")
-    else:
-        row = hist.agg(*spread).first()
-        sliced, low, high = hist, F.lit(row["_lo"]), F.lit(row["_hi"])
-    sliced = sliced.withColumn("_slice", F.when(low < high, F.width_bucket(
-        F.col(value).cast("double"), low, high, F.lit(slices))).otherwise(F.lit(1).cast("bigint")))
-    sliced = sliced.drop("_lo", "_hi")
-
+    sliced = in_slices(materialise(hist, "histograma"), group, value, slice_rows)
     keys = group + ["_slice"]
     totals = sliced.groupBy(*keys).agg(*[F.sum(s).alias(f"_{s}") for s in sums])
     before = (Window.partitionBy(*group) if group else Window.partitionBy()).orderBy("_slice") \

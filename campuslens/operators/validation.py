@@ -138,8 +138,16 @@ def unknown_fields(raw: Column, allowed: list[str]) -> Column:
     return F.array_except(F.json_object_keys(raw), F.array(*[F.lit(a) for a in allowed]))
 
 
-def failures_by_check(validated: DataFrame, checks: dict[str, Column]) -> DataFrame:
-    """Documents failing each check, zero included."""
-    one = validated.agg(*[F.count_if(F.array_contains("_fallos", n)).alias(n) for n in checks])
+def failures_by_check(validated: DataFrame, checks: dict[str, Column],
+                      document: list[str] | None = None) -> DataFrame:
+    """Documents failing each check, zero included. ``document`` names the keys of documents that
+    are stored in parts; one fails when any of its parts does."""
+    failed = {n: F.array_contains("_fallos", n) for n in checks}
+    if document:
+        # numbered names: a control may be called like a key
+        validated = validated.groupBy(*document).agg(*[
+            F.bool_or(c).alias(f"_control{i}") for i, c in enumerate(failed.values())])
+        failed = {n: F.col(f"_control{i}") for i, n in enumerate(checks)}
+    one = validated.agg(*[F.count_if(c).alias(n) for n, c in failed.items()])
     cells = [F.struct(F.lit(n).alias("control"), F.col(n).alias("rechazados")) for n in checks]
     return one.select(F.explode(F.array(*cells)).alias("x")).select("x.*")

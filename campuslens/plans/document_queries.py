@@ -232,10 +232,11 @@ _GRID = f"""rejilla AS (SELECT c_custkey AS estudiante_id, p.periodo FROM custom
     tu AS ({_EMBEDDED})"""
 
 
-def followup_docs(spark, sf):
+def followup_docs(spark, sf, student=F.lit(True)):
+    """Documents of the students that meet a predicate, which is applied before nesting."""
     students = B.table(spark, sf, "customer").select(F.col("c_custkey").alias("estudiante_id"))
-    return D.build_followup_docs(students, cleaned(spark, sf).clean, embedded_sessions(spark, sf),
-                                 B.ACTIVITY_PERIODS)
+    return D.build_followup_docs(students.where(student), cleaned(spark, sf).clean.where(student),
+                                 embedded_sessions(spark, sf).where(student), B.ACTIVITY_PERIODS)
 
 
 @query("build_followup_docs", B.sql(f"""
@@ -270,7 +271,7 @@ RULES = V.Rules(event_id="^EV-[0-9]{7,}$", session_id="^TU-[0-9]{5,}$", subjects
       ('tutoria_fecha')) v(control))""", "limpios"))
 def validate_followup_docs(spark, sf):
     checks = V.followup_checks(RULES)
-    return V.failures_by_check(V.validate(followup_docs(spark, sf), checks), checks)
+    return V.failures_by_check(V.validate(followup_docs(spark, sf), checks), checks, D.DOCUMENT)
 
 
 @query("doc_volume_counts", B.sql("""
@@ -287,9 +288,9 @@ def doc_volume_counts(spark, sf):
       WHERE estudiante_id = 1 AND periodo = 'P1') GROUP BY ALL""", "limpios"))
 def doc_lookup(spark, sf):
     """One document by key with the first two items of its array."""
-    one = D.doc_lookup(followup_docs(spark, sf), (F.col("estudiante_id") == 1)
-                       & (F.col("periodo") == "P1") & D.has_items("interacciones_lms", 2),
-                       "interacciones_lms")
+    student = F.col("estudiante_id") == 1
+    one = D.doc_lookup(followup_docs(spark, sf, student), student & (F.col("periodo") == "P1"),
+                       "interacciones_lms", at_least=2)
     item = F.col("interacciones_lms")
     return one.select("estudiante_id", "periodo", item[0]["evento_id"].alias("primero"),
                       item[1]["evento_id"].alias("segundo"))

@@ -49,6 +49,7 @@ def publish(spark: SparkSession, tables: Tables, root: str, report=None) -> Tabl
 
 def published(spark: SparkSession, root: str) -> Tables:
     """The latest published version."""
-    last = spark.read.parquet(f"{root}/{MANIFEST}").orderBy("publicado", ascending=False).first()
+    last = spark.read.parquet(f"{root}/{MANIFEST}").orderBy("publicado", "version", ascending=False) \
+        .first()
     names = Tables.__dataclass_fields__
     return Tables(**{n: spark.read.parquet(f"{root}/{last['version']}/{n}") for n in names})
