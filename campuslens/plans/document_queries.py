@@ -232,7 +232,7 @@ _GRID = f"""rejilla AS (SELECT c_custkey AS estudiante_id, p.periodo FROM custom
     tu AS ({_EMBEDDED})"""
 
 
-def followup_docs(spark, sf, student=F.lit(True)):
+def followup_docs(spark, sf, student="TRUE"):
     """Documents of the students that meet a predicate, which is applied before nesting."""
     students = B.table(spark, sf, "customer").select(F.col("c_custkey").alias("estudiante_id"))
     return D.build_followup_docs(students.where(student), cleaned(spark, sf).clean.where(student),
@@ -288,9 +288,9 @@ def doc_volume_counts(spark, sf):
       WHERE estudiante_id = 1 AND periodo = 'P1') GROUP BY ALL""", "limpios"))
 def doc_lookup(spark, sf):
     """One document by key with the first two items of its array."""
-    student = F.col("estudiante_id") == 1
-    one = D.doc_lookup(followup_docs(spark, sf, student), student & (F.col("periodo") == "P1"),
-                       "interacciones_lms", at_least=2)
+    one = D.doc_lookup(followup_docs(spark, sf, "estudiante_id = 1"),
+                       F.expr("estudiante_id = 1 AND periodo = 'P1'"), "interacciones_lms",
+                       at_least=2)
     item = F.col("interacciones_lms")
     return one.select("estudiante_id", "periodo", item[0]["evento_id"].alias("primero"),
                       item[1]["evento_id"].alias("segundo"))
