@@ -18,6 +18,8 @@ import numpy as np
 GOLAY = (23, 0b101011100011, 3)
 HAMMING = (15, 0b10011, 1)
 BLOCKS = (GOLAY, GOLAY, HAMMING)
+#: Blocks of a 46-bit fingerprint.
+SHORT_BLOCKS = (GOLAY, GOLAY)
 
 
 class PerfectCode:
@@ -70,14 +72,14 @@ class PerfectCode:
 
 
 @cache
-def codes(threshold: int) -> tuple[PerfectCode, ...]:
-    made = {spec: PerfectCode(*spec, threshold) for spec in set(BLOCKS)}
-    return tuple(made[spec] for spec in BLOCKS)
+def codes(threshold: int, blocks: tuple = BLOCKS) -> tuple[PerfectCode, ...]:
+    made = {spec: PerfectCode(*spec, threshold) for spec in set(blocks)}
+    return tuple(made[spec] for spec in blocks)
 
 
-def _split(fingerprints: np.ndarray) -> list[np.ndarray]:
+def _split(fingerprints: np.ndarray, blocks: tuple) -> list[np.ndarray]:
     words, shift = [], 0
-    for length, _, _ in BLOCKS:
+    for length, _, _ in blocks:
         words.append((fingerprints >> np.uint64(shift)).astype(np.int64) & ((1 << length) - 1))
         shift += length
     return words
@@ -90,16 +92,17 @@ def _join(names: list[np.ndarray], made: tuple[PerfectCode, ...]) -> np.ndarray:
     return anchor
 
 
-def homes(fingerprints: np.ndarray, threshold: int) -> np.ndarray:
-    made = codes(threshold)
+def homes(fingerprints: np.ndarray, threshold: int, blocks: tuple = BLOCKS) -> np.ndarray:
+    made = codes(threshold, blocks)
     return _join([code.near(words, 0)[1]
-                  for code, words in zip(made, _split(fingerprints), strict=True)], made)
+                  for code, words in zip(made, _split(fingerprints, blocks), strict=True)], made)
 
 
-def replicas(fingerprints: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+def replicas(fingerprints: np.ndarray, threshold: int, blocks: tuple = BLOCKS
+             ) -> tuple[np.ndarray, np.ndarray]:
     """(row, anchor) of every anchor that a fingerprint within ``threshold`` bits may call home."""
-    made = codes(threshold)
-    words = _split(fingerprints)
+    made = codes(threshold, blocks)
+    words = _split(fingerprints, blocks)
     shells = [[code.near(w, extra) for extra in range(threshold + 1)]
               for code, w in zip(made, words, strict=True)]
     n = len(fingerprints)
