@@ -6,7 +6,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from campuslens.llm import decontaminate, language, mixing, simhash, token_file
+from campuslens.llm import decontaminate, language, mixing, near_copies, token_file
 from campuslens.llm.common import table
 from campuslens.session import scratch_dir
 
@@ -17,8 +17,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the document with the smallest id stays."""
-    return simhash.one_per_group(docs)
+    """Of each group of near copies (5-word shingles, similarity 0.8) the smallest id stays."""
+    return near_copies.one_per_group(docs)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
