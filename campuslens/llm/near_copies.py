@@ -1,14 +1,11 @@
-"""Near copies by similarity of word shingles, found with SimHash and anchor-point covering.
+"""Near copies by similarity of word shingles, found by an exact set-similarity join.
 
-Texts are near copies if their sets of 5-word shingles have a Jaccard similarity of 0.8 or more. A
-SimHash of shingles moves by many bits when a word changes, too many for a covering code. So
-candidates come from six short fingerprints of the distinct words, which move less: two texts are
-candidates if one of these differs in two bits at most. The shingles of the candidates then decide.
+Texts are near copies if their sets of 5-word shingles have a Jaccard similarity of 0.8 or more. Texts
+of equal sets are one node. Two similar sets share a shingle among the first ones of each in any common
+order (prefix filter); the order is by how often a shingle occurs, so common lines come last. Every
+pair that the filter leaves and that is not joined already is compared over all its shingles.
 
-The threshold of two bits is split: a fingerprint is replicated to the anchors within covering radius
-plus one, on both sides of the join. Two fingerprints that differ in two bits have another between
-them, one bit from each, and its home is an anchor of both. That takes a tenth of the rows which
-radius plus two on one side takes."""
+Sets are known by hashes of 64 bits; nothing else is left to chance."""
 
 from __future__ import annotations
 
@@ -21,22 +18,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from campuslens.llm import covering, simhash
+from campuslens.llm import simhash
 from campuslens.llm.common import LOWER, RollingHash, Stage, fresh_name, mix64, pieces, stage, \
     text_buffers
 from campuslens.llm.components import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Short fingerprints of words, their bits, and the bits in which candidates may differ.
-SHORT, SHORT_BITS, SHORT_THRESHOLD = 6, 46, 2
-#: Candidates also differ in at most so many of 64 bits of a fingerprint of the shingles. Similarity
-#: 0.8 gives 9.7 bits with a deviation of 2.9, unrelated texts 32.
-WIDE_THRESHOLD = 25
-#: Smallest shingle hashes that stand for a text: the similarity is exact for texts of no more
-#: distinct shingles, and has a deviation of 0.013 beyond.
-BOTTOM = 1024
-_SEEDS = mix64(np.arange(1, SHORT + 2, dtype=np.uint64) << np.uint64(20))
+#: Slots that shingles are counted in for their order, in rows of so many. The counts decide the
+#: work only: any order gives the same pairs.
+SLOT_BITS, ROW_BITS = 20, 14
+#: Mean number of shingles of a slice at most; larger sets are compared slice by slice.
+SLICE = 2048
+#: Slack of comparisons of counts with a share of them; over-wide is harmless for candidates, and
+#: the shares of whole numbers that decide are further apart.
+_EPS = 1e-6
+_SEED = mix64(np.arange(1, 2, dtype=np.uint64) << np.uint64(20))
 
 
 def _word_hashes(text: bytes) -> np.ndarray:
@@ -52,15 +49,9 @@ def shingle_set(words: np.ndarray, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(RollingHash(words).spans(starts, starts + width))
 
 
-def sketch(text: bytes) -> list[int]:
-    """Short fingerprints and the one of the shingles; all zero without a word."""
-    words = _word_hashes(text)
-    if not len(words):
-        return [0] * (SHORT + 1)
-    distinct = np.unique(words)
-    short = [simhash._majority(mix64(distinct ^ seed)) & ((1 << SHORT_BITS) - 1)
-             for seed in _SEEDS[:SHORT]]
-    return [*short, simhash._majority(mix64(shingle_set(words) ^ _SEEDS[SHORT]))]
+def set_id(hashes: np.ndarray) -> int:
+    """Hash of a set of shingles, zero of an empty one."""
+    return int(mix64(hashes ^ _SEED).sum(dtype=np.uint64))
 
 
 def _lower_texts(column: pa.Array) -> Iterator[bytes]:
@@ -69,8 +60,8 @@ def _lower_texts(column: pa.Array) -> Iterator[bytes]:
     return (lower[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True))
 
 
-def with_sketches(docs: DataFrame, names: list[str], text_col: str = "text") -> DataFrame:
-    """All columns and ``names``: the 3-word SimHash, then the fingerprints of ``sketch``."""
+def with_prints(docs: DataFrame, names: list[str], text_col: str = "text") -> DataFrame:
+    """All columns and ``names``: the 3-word SimHash and the hash of the set of shingles."""
     at = fresh_name(docs, "_text")
     rows = docs.withColumn(at, F.col(text_col).cast("string"))
     schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in names)])
@@ -78,8 +69,8 @@ def with_sketches(docs: DataFrame, names: list[str], text_col: str = "text") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, at):
-                made = np.array([[simhash.fingerprint(t), *sketch(t)] for t in
-                                 _lower_texts(part.column(part.num_columns - 1))],
+                made = np.array([[simhash.fingerprint(t), set_id(shingle_set(_word_hashes(t)))]
+                                 for t in _lower_texts(part.column(part.num_columns - 1))],
                                 np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], *(pa.array(c) for c in made.T.copy())], schema.names)
@@ -87,93 +78,174 @@ def with_sketches(docs: DataFrame, names: list[str], text_col: str = "text") ->
     return rows.mapInArrow(run, schema)
 
 
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 2000):
-            kind, short, wide = (c.slice(at, 2000).to_numpy(zero_copy_only=False)
-                                 for c in batch.columns)
-            rows, anchors = covering.replicas(short.view(np.uint64), SHORT_THRESHOLD // 2,
-                                              covering.SHORT_BLOCKS)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(anchors * SHORT + kind[rows]), pa.array(short[rows]),
-                 pa.array(wide[rows])], ["anchor", "short", "wide"])
-
-
-def _differing(a: str, b: str):
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
-
-
-def candidates(nodes: DataFrame) -> DataFrame:
-    """Distinct (u, v), u > v, over ``nodes`` (node, w0.., wide). Texts with equal short fingerprints
-    meet the first of them, and the first ones of fingerprints within two bits meet one another, so
-    a group of copies costs its members and the pairs of its distinct fingerprints, of which one
-    has at most 46 + 1035 around it."""
-    short = nodes.select("node", "wide", F.explode(F.array(*[
-        F.struct(F.lit(k).cast("long").alias("kind"), F.col(f"w{k}").alias("short"))
-        for k in range(SHORT)])).alias("at")).select("node", "wide", "at.*")
-    firsts = stage(short.groupBy("kind", "short").agg(
-        F.min(F.struct("node", "wide")).alias("first")), "short-prints")
-    same = short.join(firsts, ["kind", "short"]).where(
-        (F.col("node") > F.col("first.node"))
-        & (_differing("wide", "first.wide") <= WIDE_THRESHOLD)).select(
-        F.col("node").alias("u"), F.col("first.node").alias("v"))
-    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("anchor", "short", "wide")])
-    placed = firsts.select("kind", "short", "first.wide").mapInArrow(_anchors, schema)
-    a, b = placed.alias("a"), placed.alias("b")
-    pairs = a.join(b, (F.col("a.anchor") == F.col("b.anchor"))
-                   & (F.col("a.short") < F.col("b.short"))
-                   & (_differing("a.short", "b.short") <= SHORT_THRESHOLD)
-                   & (_differing("a.wide", "b.wide") <= WIDE_THRESHOLD))
-    pairs = stage(pairs.select((F.col("a.anchor") % SHORT).alias("kind"), F.col("a.short").alias("p"),
-                               F.col("b.short").alias("q")).distinct(), "short-links")
-    met = pairs.join(firsts.select("kind", F.col("short").alias("p"), F.col("first.node").alias("a")),
-                     ["kind", "p"]).join(
-        firsts.select("kind", F.col("short").alias("q"), F.col("first.node").alias("b")),
-        ["kind", "q"]).where("a != b").select(F.greatest("a", "b").alias("u"),
-                                              F.least("a", "b").alias("v"))
-    return same.union(met).distinct()
-
-
-def shingle_sets(rows: DataFrame) -> DataFrame:
-    """(node, n, low) of ``rows`` (node, text): distinct shingles and the smallest of their hashes."""
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> np.uint64(64 - SLOT_BITS)
+
+
+def slot_counts(texts: DataFrame) -> np.ndarray:
+    """How many shingles of ``texts`` (node, text) fall into each slot, up to 65535."""
+    def rows(counts: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(counts), pa.int64()),
+             pa.array([np.minimum(c, 65535).astype(np.uint16).tobytes() for c in counts.values()],
+                      pa.binary())], ["at", "counts"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        all_counts = np.zeros(1 << SLOT_BITS, np.uint32)
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                for t in _lower_texts(part.column(1)):
+                    np.add.at(all_counts, _slots(shingle_set(_word_hashes(t))), np.uint32(1))
+        yield rows({k: c for k, c in enumerate(all_counts.reshape(-1, 1 << ROW_BITS)) if c.any()})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, c in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                sums[k] = sums.get(k, 0) + np.frombuffer(c, np.uint16).astype(np.uint32)
+        yield rows(sums)
+
+    made = np.zeros((1 << (SLOT_BITS - ROW_BITS), 1 << ROW_BITS), np.uint16)
+    schema = "at long, counts binary"
+    for r in texts.mapInArrow(count, schema).repartition(len(made), "at").mapInArrow(
+            add, schema).toLocalIterator():
+        made[r["at"]] = np.frombuffer(r["counts"], np.uint16)
+    return made.reshape(-1)
+
+
+def prefix_length(n: int, similarity: float = SIMILARITY) -> int:
+    """Of the first so many shingles of a set of ``n`` one is shared with each similar set."""
+    return n - int(np.ceil(similarity * n - _EPS)) + 1 if n else 0
+
+
+def prefixes(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(shingle, node, n, at) of ``texts`` (node, text): the first shingles of each set, from the
+    rarest, with the size of the set and their positions."""
+    spark = texts.sparkSession
+    counts = spark.sparkContext.broadcast(slot_counts(texts))
+    schema = "shingle long, node long, n long, at long"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
                 sets = [shingle_set(_word_hashes(t)) for t in _lower_texts(part.column(1))]
+                sizes = np.array([len(s) for s in sets], np.int64)
+                takes = np.array([prefix_length(n, similarity) for n in sizes.tolist()], np.int64)
+                first = [s[np.argsort(counts.value[_slots(s)], kind="stable")[:k]]
+                         for s, k in zip(sets, takes.tolist(), strict=True)]
+                nodes = part.column(0).to_numpy(zero_copy_only=False)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([s[:BOTTOM].view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                    ["node", "n", "low"])
-    return rows.mapInArrow(run, "node long, n long, low array<long>")
+                    [pa.array(np.concatenate(first).view(np.int64)),
+                     pa.array(np.repeat(nodes, takes)), pa.array(np.repeat(sizes, takes)),
+                     pa.array(np.concatenate([np.arange(k) for k in takes.tolist()]), pa.int64())],
+                    ["shingle", "node", "n", "at"])
+
+    return texts.mapInArrow(run, schema)
+
+
+def _may_be_similar(n, at, m, there, similarity: float):
+    """A first shared shingle at these positions leaves enough shingles after it."""
+    return F.least(n - at, m - there) >= similarity / (1 + similarity) * (n + m) - _EPS
+
+
+def buckets(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``prefixes`` whose shingle has more than one node, each once, as a stage table, with the
+    ends ``lo`` and ``hi`` (node, n, at) of the shingle's nodes."""
+    rows = Stage(prefixes(texts, similarity), "prefixes")
+    it = F.struct("node", "n", "at")
+    ends = rows.frame.groupBy("shingle").agg(F.min(it).alias("lo"), F.max(it).alias("hi")).where(
+        "lo.node != hi.node")
+    out = stage(rows.frame.join(stage(ends, "prefix-ends"), "shingle").distinct(), "prefix-buckets")
+    rows.drop()
+    return out
+
+
+def end_candidates(shared: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Distinct (u, v), u > v, of each node and three of the first and last nodes of its buckets: the
+    least, the greatest and the one it meets most often. That is linear in the nodes and joins most
+    of a large group of copies; ``rest_candidates`` has all that remains."""
+    rows = shared.select("node", "n", "at", F.explode(F.array("lo", "hi")).alias("end"))
+    met = rows.where((F.col("node") != F.col("end.node")) & _may_be_similar(
+        F.col("n"), F.col("at"), F.col("end.n"), F.col("end.at"), similarity)).groupBy(
+        "node", F.col("end.node").alias("end")).agg(F.count(F.lit(1)).alias("times"))
+    ends = met.groupBy("node").agg(
+        F.min("end").alias("x"), F.max("end").alias("y"),
+        F.max(F.struct("times", "end"))["end"].alias("z"))
+    return ends.select("node", F.explode(F.array_distinct(F.array("x", "y", "z"))).alias("end")).select(
+        F.greatest("node", "end").alias("u"), F.least("node", "end").alias("v")).distinct()
+
+
+def rest_candidates(shared: DataFrame, roots: DataFrame, similarity: float = SIMILARITY
+                    ) -> DataFrame:
+    """All other distinct (u, v) of ``shared`` that may be similar and are not joined already by
+    ``roots`` (node, root)."""
+    placed = shared.select("shingle", "node", "n", "at").join(roots, "node", "left").withColumn(
+        "root", F.coalesce("root", "node"))
+    mixed = placed.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(
+        "x != y").select("shingle")
+    placed = stage(placed.join(mixed, "shingle", "left_semi"), "prefix-rest")
+    a, b = placed.alias("a"), placed.alias("b")
+    met = a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.root") < F.col("b.root"))
+                 & _may_be_similar(F.col("a.n"), F.col("a.at"), F.col("b.n"), F.col("b.at"),
+                                   similarity))
+    return met.select(F.greatest("a.node", "b.node").alias("u"),
+                      F.least("a.node", "b.node").alias("v")).distinct()
 
 
-def similar(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Those of ``pairs`` (u, v) whose texts (node, text) are similar. Texts that no pair names are
-    not looked at. Beyond BOTTOM shingles the smallest hashes of the union are the sample."""
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    sets = stage(shingle_sets(texts.join(wanted, "node", "left_semi")), "shingle-sets")
+def _slice_bits(n: int) -> int:
+    return max(0, (n - 1).bit_length() - (SLICE - 1).bit_length()) if n else 0
 
-    def side(name: str, n: str, low: str) -> DataFrame:
-        return sets.select(F.col("node").alias(name), F.col("n").alias(n), F.col("low").alias(low))
 
-    # similarity s needs sizes within a factor s of one another
-    met = pairs.join(side("u", "nu", "a"), "u").join(side("v", "nv", "b"), "v").where(
-        F.least("nu", "nv") >= similarity * F.greatest("nu", "nv"))
+def shingle_slices(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, n, bits, slice, hashes) of ``rows`` (node, text): all distinct shingles, cut by the
+    first ``bits`` bits of their hashes as the sizes of the set and of any similar one ask for."""
+    def cut(hashes: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        n = len(hashes)
+        for bits in range(_slice_bits(n), _slice_bits(int(n / similarity + _EPS)) + 1):
+            bounds = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits if bits else 0)
+            for k, part in enumerate(np.split(hashes, np.searchsorted(hashes, bounds))):
+                yield bits, k, part
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("a"), batch.column("b"), strict=True):
-                x, y = (c.values.to_numpy(zero_copy_only=False).view(np.uint64) for c in (a, b))
-                union = np.union1d(x, y)
-                if max(len(x), len(y)) >= BOTTOM:
-                    union = union[:BOTTOM]
-                both = np.intersect1d(x, y, assume_unique=True)
-                shared = np.searchsorted(both, union[-1], "right") if len(union) else 1
-                keep.append(shared >= similarity * len(union))
-            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+            for part in pieces(batch, "text"):
+                made = []
+                for node, t in zip(part.column(0).to_pylist(), _lower_texts(part.column(1)),
+                                   strict=True):
+                    hashes = shingle_set(_word_hashes(t))
+                    made += [(node, len(hashes), bits, k, x.view(np.int64))
+                             for bits, k, x in cut(hashes)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array([m[i] for m in made], pa.int64()) for i in range(4)),
+                     pa.array([m[4] for m in made], pa.list_(pa.int64()))],
+                    ["node", "n", "bits", "slice", "hashes"])
 
-    return met.select("u", "v", "a", "b").mapInArrow(verify, "u long, v long")
+    return rows.mapInArrow(run, "node long, n long, bits long, slice long, hashes array<long>")
+
+
+def similar(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Those of ``pairs`` (u, v) whose texts (node, text) are similar, by all their shingles. Texts
+    that no pair names are not looked at. A set of many shingles is compared in slices of its
+    hashes, so that no row grows with a text."""
+    wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    sets = stage(shingle_slices(texts.join(wanted, "node", "left_semi"), similarity), "shingle-sets")
+
+    def side(name: str, n: str, hashes: str) -> DataFrame:
+        return sets.select(F.col("node").alias(name), F.col("n").alias(n), "bits", "slice",
+                           F.col("hashes").alias(hashes))
+
+    # similarity s needs sizes within a factor s of one another
+    least = F.least("nu", "nv") >= similarity * F.greatest("nu", "nv") - _EPS
+    sizes = sets.groupBy("node").agg(F.first("n").alias("n"), F.min("bits").alias("own"))
+    fit = pairs.join(sizes.toDF("u", "nu", "bu"), "u").join(sizes.toDF("v", "nv", "bv"), "v").where(
+        least).select("u", "v", F.greatest("bu", "bv").alias("bits"))
+    met = fit.join(side("u", "nu", "a"), ["u", "bits"]).join(
+        side("v", "nv", "b"), ["v", "bits", "slice"])
+    shared = met.groupBy("u", "v").agg(
+        F.first("nu").alias("nu"), F.first("nv").alias("nv"),
+        F.sum(F.size(F.array_intersect("a", "b"))).alias("both"))
+    return shared.where(F.col("both") >= similarity * (F.col("nu") + F.col("nv") - F.col("both"))
+                        - _EPS).select("u", "v")
 
 
 def simhash_links(nodes: DataFrame) -> DataFrame:
@@ -194,20 +266,30 @@ def one_per_group(docs: DataFrame) -> DataFrame:
 
     Null and wordless texts are one group; texts of fewer than five words have one shingle; repeated
     rows are copies; extra columns stay; an empty table gives an empty result."""
-    plain = ["fp", *(f"w{k}" for k in range(SHORT)), "wide"]
-    names = [fresh_name(docs, f"_{p}") for p in plain]
+    names = [fresh_name(docs, f"_{p}") for p in ("fp", "set")]
     row = fresh_name(docs, "_row")
-    marked = Stage(with_sketches(docs, names).withColumn(row, F.monotonically_increasing_id()),
-                   "sketches").frame
-    copies = marked.select(*[F.col(n).alias(p) for n, p in zip(names, plain, strict=True)],
+    marked = Stage(with_prints(docs, names).withColumn(row, F.monotonically_increasing_id()),
+                   "prints").frame
+    copies = marked.select(F.col(names[0]).alias("fp"), F.col(names[1]).alias("node"),
                            F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"),
                                     F.col(row).alias("row")).alias("it"))
-    nodes = stage(copies.groupBy(*plain).agg(F.min("it").alias("best")).withColumn(
-        "node", F.col("best.row")), "sketch-nodes")
-    pairs = stage(candidates(nodes), "candidates")
-    texts = marked.select(F.col(row).alias("node"), F.col("text").cast("string").alias("text"))
-    links = stage(simhash_links(nodes).union(similar(pairs, texts)), "near-links")
-    best = nodes.join(components(links), "node", "left").groupBy(
+    nodes = stage(copies.groupBy("fp", "node").agg(F.min("it").alias("best")), "print-nodes")
+    sets = stage(nodes.groupBy("node").agg(F.min("best").alias("best")), "set-nodes")
+
+    def similar_of(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(
+            sets.select("node", F.col("best.row").alias(row)), "node")
+        texts = marked.select(row, F.col("text").cast("string").alias("text")).join(wanted, row)
+        return stage(similar(pairs, texts.select("node", "text")), "similar")
+
+    shared = buckets(marked.select(F.col(names[1]).alias("node"),
+                                   F.col("text").cast("string").alias("text")))
+    links = stage(simhash_links(nodes).union(
+        similar_of(stage(end_candidates(shared), "end-candidates"))), "first-links")
+    roots = components(links)
+    rest = similar_of(stage(rest_candidates(shared, roots), "rest-candidates"))
+    roots = components(roots.toDF("u", "v").union(rest))
+    best = sets.join(roots, "node", "left").groupBy(
         F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best"))
     return marked.join(best.select(F.col("best.row").alias(row)), row, "left_semi").select(
         *[F.col(f"`{c}`") for c in docs.columns])

@@ -68,3 +68,52 @@ def test_similarity_is_decided_at_its_bound(spark):
     pairs = spark.createDataFrame([(1, 0), (2, 0), (4, 3), (3, 0)], "u long, v long")
     found = near_copies.similar(pairs, spark.createDataFrame(texts, "node long, text string"))
     assert sorted(map(tuple, found.collect())) == [(1, 0), (4, 3)]
+
+
+def groups(rows):
+    """Ids that stay, by brute force over the similarity alone."""
+    root = {i: i for i, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    sets = [(i, shingles(t)) for i, t in rows]
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            if len(a & b) >= 0.8 * len(a | b):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return {i for i in root if find(i) == i}
+
+
+def test_siblings_that_are_similar_to_their_base_only(docs_frame):
+    """1000 texts at 0.82 of one base and below 0.8 of one another; the base is the last row."""
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(1000):
+        words = list(base)
+        for at in rng.sample(range(4, 196, 8), 4):  # five shingles each
+            words[at] = f"changed{i}-{at}"
+        rows.append((i, " ".join(words[:-1] if i % 2 else words)))
+    rows.append((5000, " ".join(base)))
+    assert all(0.8 <= similarity(t, rows[-1][1]) < 0.83 for _, t in rows[:-1])
+    assert sum(similarity(rows[i][1], rows[i + 1][1]) < 0.8 for i in range(999)) > 900
+    kept = {r.doc_id for r in near_copies.one_per_group(docs_frame(rows)).collect()}
+    assert kept == {0}
+
+
+def test_equal_words_in_another_order_do_not_hide_a_pair(docs_frame):
+    """A has the distinct words of B and C, so all word fingerprints; B and C are similar."""
+    rows = []
+    for f in range(20):
+        rng = random.Random(f)
+        words = [f"f{f}w{i}" for i in range(200)]
+        other = rng.sample(words, len(words))
+        rows += [(3 * f, " ".join(other)), (3 * f + 1, " ".join(words)),
+                 (3 * f + 2, " ".join([*words[100:], *words[:100], *words[100:]]))]
+    expect = groups(rows)
+    assert len(expect) == 40
+    kept = {r.doc_id for r in near_copies.one_per_group(docs_frame(rows)).collect()}
+    assert kept == expect
