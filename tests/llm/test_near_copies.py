@@ -135,3 +135,19 @@ def test_truncated_and_extended_copies_go(docs_frame):
         assert all(0.8 <= similarity(rows[-1][1], t) < 0.92 for _, t in rows[-5:-1])
     kept = {r.doc_id for r in near_copies.one_per_group(docs_frame(rows)).collect()}
     assert kept == {10 * f for f in range(40)}
+
+
+def test_long_texts_are_decided_at_their_bound(spark):
+    """Sets of many slices, of equal and of different numbers of slices."""
+    texts, pairs, expect = [], [], []
+    for size in (1500, 4500, 20_000):
+        base = [f"s{size}w{i}" for i in range(size + 4)]
+        texts.append((size, " ".join(base)))
+        for off in range(-3, 3):
+            node = size + 100 + off
+            texts.append((node, " ".join(base[:size * 4 // 5 + 4 + off])))
+            pairs.append((node, size))
+            expect += [(node, size)] if off >= 0 else []
+    found = near_copies.similar(spark.createDataFrame(pairs, "u long, v long"),
+                                spark.createDataFrame(texts, "node long, text string"))
+    assert sorted(map(tuple, found.collect())) == sorted(expect)
