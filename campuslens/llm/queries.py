@@ -13,6 +13,7 @@ from campuslens.llm import (
     chat,
     decontaminate,
     language,
+    merkle,
     mixing,
     page_text,
     repeats,
@@ -21,6 +22,7 @@ from campuslens.llm import (
     token_file,
 )
 from campuslens.llm.common import table
+from campuslens.llm.merkle_sql import OP13_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +77,10 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        table(spark, sf_dir, "benchmark"))
 
 
+def op13_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_file": op1_token_file,
     "op2_token_counts": op2_token_counts,
@@ -86,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_repeats": op8_suffix_repeats,
     "op9_ball_tree": op9_ball_tree,
     "op10_winnowing": op10_winnowing,
+    "op13_merkle_proofs": op13_merkle_proofs,
 }
 
 #: The mix in SQL: md5 keys order each source, sums before a document place it in the sequence.
@@ -118,4 +125,4 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-ORACLES: dict[str, str] = {"op4_mix_sources": OP4_SQL}
+ORACLES: dict[str, str] = {"op4_mix_sources": OP4_SQL, "op13_merkle_proofs": OP13_SQL}
