@@ -17,6 +17,7 @@ from campuslens.llm import (
     mixing,
     page_text,
     repeats,
+    runs,
     simhash,
     token_count,
     token_file,
@@ -77,6 +78,11 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        table(spark, sf_dir, "benchmark"))
 
 
+def op12_lyndon_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = runs.with_planted_runs(table(spark, sf_dir, "documents"))
+    return runs.run_digests(runs.periodic_runs(docs))
+
+
 def op13_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
@@ -92,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_repeats": op8_suffix_repeats,
     "op9_ball_tree": op9_ball_tree,
     "op10_winnowing": op10_winnowing,
+    "op12_lyndon_runs": op12_lyndon_runs,
     "op13_merkle_proofs": op13_merkle_proofs,
 }
 
