@@ -16,6 +16,7 @@ from campuslens.llm import (
     merkle,
     mixing,
     page_text,
+    personal_data,
     repeats,
     runs,
     simhash,
@@ -78,6 +79,10 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        table(spark, sf_dir, "benchmark"))
 
 
+def op11_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.span_digests(personal_data.find_spans(table(spark, sf_dir, "documents")))
+
+
 def op12_lyndon_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = runs.with_planted_runs(table(spark, sf_dir, "documents"))
     return runs.run_digests(runs.periodic_runs(docs))
@@ -98,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_repeats": op8_suffix_repeats,
     "op9_ball_tree": op9_ball_tree,
     "op10_winnowing": op10_winnowing,
+    "op11_weak_supervision": op11_weak_supervision,
     "op12_lyndon_runs": op12_lyndon_runs,
     "op13_merkle_proofs": op13_merkle_proofs,
 }
