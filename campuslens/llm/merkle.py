@@ -5,8 +5,9 @@ sixteen to one, so a source with a third of all rows is as wide as any other gro
 node is a row that names its parent; a recursive query climbs from the leaves, joins the parent's row
 in each step, appends the siblings to the proof and folds the leaf under test into the parent's hash.
 
-Leaves climb in rows of one run of sixteen: they share all siblings above their run, so each leaf
-keeps its own folded hash and the run keeps one proof."""
+Leaves climb in blocks of two levels, 256 leaves to a row: they share all siblings above the block, so
+each leaf keeps its own folded hash and the block keeps one proof. Siblings inside a block stand in its row,
+and the table that the climb joins has a row for 3840 leaves."""
 
 from __future__ import annotations
 
@@ -64,22 +65,25 @@ def height(leaves: Column) -> Column:
     return sum((F.when(leaves > F.lit(FAN_OUT ** k), 1).otherwise(0) for k in range(MAX_HEIGHT)), F.lit(0))
 
 
-def build_levels(leaves: DataFrame) -> list[DataFrame]:
-    """Stage tables of the levels above ``leaves`` (tree, i, hash, height, row): rows (tree, i, hash,
-    height, kids, rows), lowest level first. ``kids`` are the hashes of a run in order, ``rows`` the
-    leaves' ``row`` values at the lowest level."""
-    levels, below, lv = [], leaves, 0
+#: Levels that a row of the climb starts with.
+BLOCK_LEVELS = 2
+
+
+def build_levels(leaves: DataFrame, carried: int = 0) -> list[DataFrame]:
+    """Stage tables of the levels above ``leaves`` (tree, i, hash, height): rows (tree, i, hash, height,
+    kids), lowest level first. ``kids`` are the hashes of a run in order. The first ``carried`` levels have
+    a column ``row`` as well, the ``row`` values of their run in order."""
+    levels, below = [], leaves
     top = leaves.agg(F.max("height")).first()[0] or 0
-    while lv < top:
-        lv += 1
-        run = F.array_sort(F.collect_list(F.struct("i", "hash", *(["row"] if lv == 1 else []))))
+    for lv in range(1, top + 1):
+        keep = ["row"] if lv <= carried else []
+        run = F.array_sort(F.collect_list(F.struct("i", "hash", *keep)))
         runs = below.where(F.col("height") >= lv).groupBy(
             "tree", F.shiftright("i", RUN_BITS).alias("i")).agg(run.alias("run"), F.first("height").alias("height"))
-        cols = ["tree", "i", "height", F.col("run.hash").alias("kids")]
-        if lv == 1:
-            cols.append(F.col("run.row").alias("rows"))
-        made = runs.select(*cols).withColumn("hash", digest(F.array_join("kids", "")))
-        below = stage(made, f"merkle-level-{lv}")
+        made = runs.select("tree", "i", "height", F.col("run.hash").alias("kids"),
+                           *[F.col(f"run.{c}").alias(c) for c in keep])
+        below = stage(made.withColumn("hash", digest(F.array_join("kids", ""))).withColumns(
+            {c: F.struct("hash", F.col(c).alias("leaves")) for c in keep if lv == 1}), f"merkle-level-{lv}")
         levels.append(below)
     return levels
 
@@ -114,37 +118,45 @@ def _folded(kids: str, place: str, own: str) -> str:
     return f"sha2(concat({before}, {own}, {after}), 256)"
 
 
-#: The climb. A row is a run of leaves that has reached a node whose parent is (up_tree, up_lv, up_i);
+def _refold(runs: str, kids: str, place: str) -> str:
+    """SQL of ``runs`` with every leaf's folded hash put in a place of the next run up and hashed; ``u``, ``j``,
+    ``r`` and ``k`` are a run, its place, a leaf and its place."""
+    return (f"transform({runs}, (u, j) -> named_struct('hash', u.hash, 'leaves', transform(u.leaves, (r, k) -> "
+            f"named_struct('doc_id', r.doc_id, 'leaf', r.leaf, 'folded', {_folded(kids, place, 'r.folded')}))))")
+
+
+#: The climb. A row is a block of leaves that has reached a node whose parent is (up_tree, up_lv, up_i);
 #: each step joins that parent. LIMIT ALL lifts Spark's bound on the rows of a recursion.
 CLIMB = f"""
-WITH RECURSIVE climb(up_tree, up_lv, up_i, place, rows, proof, subroot) AS (
-  SELECT up_tree, up_lv, up_i, place, rows, '' AS proof, CAST(NULL AS STRING) AS subroot FROM {{seeds}}
+WITH RECURSIVE climb(up_tree, up_lv, up_i, place, runs, proof, subroot) AS (
+  SELECT up_tree, up_lv, up_i, place, runs, '' AS proof, CAST(NULL AS STRING) AS subroot FROM {{seeds}}
   UNION ALL
-  SELECT n.up_tree, n.up_lv, n.up_i, n.place,
-         transform(c.rows, r -> named_struct('doc_id', r.doc_id, 'leaf', r.leaf,
-                                             'folded', {_folded('n.kids', 'c.place', 'r.folded')})),
+  SELECT n.up_tree, n.up_lv, n.up_i, n.place, {_refold('c.runs', 'n.kids', 'c.place')},
          concat(c.proof, {', '.join(_siblings('n.kids', 'c.place'))}),
          coalesce(c.subroot, CASE WHEN n.tree = {TOP} THEN n.kids[int(c.place)] END)
   FROM climb c JOIN {{nodes}} n ON n.tree = c.up_tree AND n.lv = c.up_lv AND n.i = c.up_i)
-SELECT rows, proof, subroot FROM climb WHERE up_tree IS NULL LIMIT ALL
+SELECT runs, proof, subroot FROM climb WHERE up_tree IS NULL LIMIT ALL
 """
 
 
 def _seeds(leaves: DataFrame, levels: list[DataFrame], many_trees: bool) -> DataFrame:
-    """Where the climb starts: each lone leaf, and each lowest run with its leaves folded once."""
-    lone = _linked(leaves.where("height = 0"), 0, many_trees).select(*_LINK, F.array("row").alias("rows"))
-    if not levels:
-        return lone
-    fold = _folded("kids", "k", "r.folded")
-    rows = F.expr("transform(rows, (r, k) -> named_struct('doc_id', r.doc_id, 'leaf', r.leaf, "
-                  f"'folded', {fold}))")
-    return lone.union(_linked(levels[0], 1, many_trees).select(*_LINK, rows.alias("rows")))
+    """Where the climb starts: blocks of leaves folded up to the block's own node."""
+    one = F.expr("named_struct('hash', hash, 'leaves', array(row))")
+    made = _linked(leaves.where("height = 0"), 0, many_trees).select(*_LINK, F.array(one).alias("runs"))
+    for lv, level in enumerate(levels[:BLOCK_LEVELS], 1):
+        runs = level if lv == BLOCK_LEVELS else level.where(F.col("height") == lv)
+        runs = _linked(runs, lv, many_trees).withColumn("runs", F.array("row") if lv == 1 else F.col("row"))
+        runs = runs.withColumn("runs", F.expr(_refold("runs", "u.leaves.leaf", "k")))
+        if lv > 1:
+            runs = runs.withColumn("runs", F.expr(_refold("runs", "kids", "j")))
+        made = made.union(runs.select(*_LINK, "runs"))
+    return made
 
 
 def _nodes(levels: list[DataFrame], over: list[DataFrame], many_trees: bool) -> DataFrame | None:
-    """Parent-linked rows of all nodes that the climb can reach: those above the lowest runs."""
+    """Parent-linked rows of all nodes that the climb can reach: those above the blocks."""
     made = [_linked(t, lv, many_trees).select("tree", F.lit(lv).alias("lv"), "i", "kids", *_LINK)
-            for lv, t in [*enumerate(levels[1:], 2), *enumerate(over, 1)]]
+            for lv, t in [*enumerate(levels[BLOCK_LEVELS:], BLOCK_LEVELS + 1), *enumerate(over, 1)]]
     return reduce(DataFrame.union, made) if made else None
 
 
@@ -179,24 +191,26 @@ def manifest(docs: DataFrame, tampered: Callable = tampered_fifth) -> DataFrame:
         "tree", at.alias("i"), F.col("leaf").alias("hash"), "height",
         F.struct("doc_id", "leaf", F.coalesce("other", "leaf").alias("folded")).alias("row")), "merkle-rows")
     placed.drop()
-    levels = build_levels(leaves)
+    levels = build_levels(leaves, BLOCK_LEVELS)
     n_trees = trees.count()
     ends = [t.where(F.col("height") == lv).select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("i"),
                                                   "hash") for lv, t in enumerate([leaves, *levels])]
-    subroots = stage(reduce(DataFrame.union, ends).withColumns(
-        {"height": height(F.lit(n_trees)), "row": F.lit("")}), "merkle-subroots")
+    subroots = stage(reduce(DataFrame.union, ends).withColumn(
+        "height", height(F.lit(n_trees))), "merkle-subroots")
     over = build_levels(subroots)
     root = F.lit(next((r["hash"] for r in (over or [subroots])[-1].take(1)), None))
     many = n_trees > 1
     climbed = stage(_seeds(leaves, levels, many), "merkle-seeds")
     nodes = _nodes(levels, over, many)
     if nodes is None:
-        climbed = climbed.select("rows", F.lit("").alias("proof"), F.lit(None).cast("string").alias("subroot"))
+        climbed = climbed.select("runs", F.lit("").alias("proof"), F.lit(None).cast("string").alias("subroot"))
     else:
         climbed = docs.sparkSession.sql(CLIMB, seeds=climbed, nodes=stage(nodes, "merkle-nodes"))
-    each = climbed.select("proof", "subroot", F.expr("transform(rows, r -> r.leaf)").alias("kids"),
-                          F.posexplode("rows").alias("k", "r"))
+    runs = climbed.select("proof", "subroot", F.col("runs.hash").alias("kids"), F.posexplode("runs").alias("j", "u"))
+    each = runs.select("proof", "subroot", "kids", "j", F.col("u.leaves.leaf").alias("own"),
+                       F.posexplode("u.leaves").alias("k", "r"))
+    proof = ", ".join([*_siblings("own", "k"), *_siblings("kids", "j"), "proof"])
     return each.select(
         "r.doc_id", "r.leaf", F.coalesce("subroot", root).alias("subroot"), root.alias("root"),
-        F.sha2(F.expr(f"concat({', '.join(_siblings('kids', 'k'))}, proof)"), 256).alias("proof_sha256"),
+        F.sha2(F.expr(f"concat({proof})"), 256).alias("proof_sha256"),
         F.col("r.folded").alias("folded_root"), (F.col("r.folded") == root).alias("verified"))
