@@ -10,12 +10,13 @@ SEED = 42
 
 def grouped_folds(df: DataFrame, group: str, label: str, folds: int = 5, seed: int = SEED,
                   name: str = "pliegue") -> DataFrame:
-    """Fold 1..folds per group; groups with the same label signature are dealt out in md5 order.
+    """Fold 1..folds per group; groups with the same label signature (rows, positive rows; a missing
+    label is not positive) are dealt out in md5 order.
 
     Ranks inside a stratum come in two levels: the leading hash digits cut every stratum into
     4096 even slices, so a stratum with most of the groups is still ranked in parallel."""
     signature = df.groupBy(group).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("int")).alias("_k"))
+        F.count(F.lit(1)).alias("_n"), F.count_if(F.col(label).cast("int") == 1).alias("_k"))
     signature = signature.withColumn(
         "_h", F.md5(F.concat(F.lit(f"{seed}-"), F.col(group).cast("string")))) \
         .withColumn("_slice", F.substring("_h", 1, 3))

@@ -41,7 +41,7 @@ B.CTES["integrada"] = (["ancha", "actividad", "tutorias", "alertas"], """
 B.CTES["firmas"] = (["integrada"], """
     SELECT estudiante_id, (row_number() OVER (PARTITION BY n, k ORDER BY h, estudiante_id) - 1) % 5 + 1 AS pliegue
     FROM (SELECT estudiante_id, count(*) AS n, count(*) FILTER (WHERE nota_p3 < 10) AS k,
-      md5('42-' || CAST(estudiante_id AS VARCHAR)) AS h FROM integrada WHERE nota_p3 IS NOT NULL GROUP BY estudiante_id)""")
+      md5('42-' || CAST(estudiante_id AS VARCHAR)) AS h FROM integrada GROUP BY estudiante_id)""")
 _TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "tinyint": "TINYINT", "smallint": "SMALLINT",
           "int": "INTEGER", "boolean": "BOOLEAN"}
 B.CTES["datos"] = (["integrada", "firmas"], f"""
@@ -51,25 +51,23 @@ B.CTES["datos"] = (["integrada", "firmas"], f"""
         CASE WHEN nota_p3 < 10 THEN 1 WHEN nota_p3 >= 10 THEN 0 END AS en_riesgo,
         CASE WHEN NOT no_evaluado_p3 THEN nota_p3 > q.media END AS rendimiento_sobre_promedio,
         CASE WHEN pliegue = 1 THEN 'test' ELSE 'train' END AS particion
-      FROM (SELECT * FROM integrada WHERE nota_p1 IS NOT NULL AND nota_p2 IS NOT NULL AND nota_p3 IS NOT NULL) i
+      FROM integrada i
       JOIN (SELECT asignatura, quantile_cont(faltas, 0.25) AS q1, quantile_cont(faltas, 0.75) AS q3,
-          avg(nota_p3) FILTER (WHERE NOT no_evaluado_p3) AS media FROM integrada
-        WHERE nota_p1 IS NOT NULL AND nota_p2 IS NOT NULL AND nota_p3 IS NOT NULL GROUP BY asignatura) q USING (asignatura)
+          avg(nota_p3) FILTER (WHERE NOT no_evaluado_p3) AS media FROM integrada GROUP BY asignatura) q USING (asignatura)
       JOIN firmas f USING (estudiante_id))""")
-B.CTES["firmas"] = (["integrada"], B.CTES["firmas"][1].replace(
-    "WHERE nota_p3 IS NOT NULL", "WHERE nota_p1 IS NOT NULL AND nota_p2 IS NOT NULL AND nota_p3 IS NOT NULL"))
-B.CTES["factores"] = (["datos"], """
+B.CTES["completos"] = (["datos"], """
+    SELECT * FROM datos WHERE nota_p1 IS NOT NULL AND nota_p2 IS NOT NULL AND nota_p3 IS NOT NULL""")
+B.CTES["factores"] = (["completos"], """
     SELECT d.*, faltas >= a3 AS f_inasistencia, reprobaciones_previas >= 1 AS f_reprob_previas,
       sim_lms_minutos_p1 <= m1 AS f_bajo_lms,
       CAST(faltas >= a3 AS INTEGER) + CAST(reprobaciones_previas >= 1 AS INTEGER) AS n_factores_reales
-    FROM datos d JOIN (SELECT asignatura, quantile_cont(faltas, 0.75) AS a3,
-      quantile_cont(sim_lms_minutos_p1, 0.25) AS m1 FROM datos GROUP BY asignatura) USING (asignatura)""")
+    FROM completos d JOIN (SELECT asignatura, quantile_cont(faltas, 0.75) AS a3,
+      quantile_cont(sim_lms_minutos_p1, 0.25) AS m1 FROM completos GROUP BY asignatura) USING (asignatura)""")
 
 
 def integrated(spark, sf) -> DataFrame:
-    """Enrolments graded in all three periods, with their behaviour aggregates."""
-    wide = R.wide_enrolment(B.tables(spark, sf)).dropna(subset=["nota_p1", "nota_p2", "nota_p3"])
-    return A.integrate(wide, D.lms_activity(cleaned(spark, sf).clean, periods=B.ACTIVITY_PERIODS),
+    """Every enrolment with its behaviour aggregates; a period without a grade stays null."""
+    return A.integrate(R.wide_enrolment(B.tables(spark, sf)), D.lms_activity(cleaned(spark, sf).clean, periods=B.ACTIVITY_PERIODS),
                        D.sessions_per_enrolment(B.sessions(spark, sf)),
                        D.alerts_per_enrolment(B.alerts(spark, sf)))
 
@@ -79,6 +77,11 @@ def dataset(spark, sf) -> DataFrame:
     return materialise(A.typed(A.derive(materialise(integrated(spark, sf), "integrada"))), "datos")
 
 
+def evaluated(spark, sf) -> DataFrame:
+    """Rows with all three grades, for rates, tests and models that need the outcome."""
+    return dataset(spark, sf).dropna(subset=["nota_p1", "nota_p2", "nota_p3"])
+
+
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
@@ -93,12 +96,20 @@ def data_dictionary(spark, sf):
     return A.profile_dictionary(dataset(spark, sf))
 
 
-@query("dataset_contract", B.sql("""
-    SELECT 'clave duplicada' AS control, 0 AS valor UNION ALL SELECT 'nulos en obligatorias', 0 UNION ALL
-    SELECT 'notas', 0 UNION ALL SELECT 'en_riesgo', 0 UNION ALL SELECT 'no_evaluado', 0 UNION ALL
-    SELECT 'sim', 0 UNION ALL SELECT 'nota_alta', count(*) FILTER (WHERE nota_p3 > 12) FROM datos""", "datos"))
+@query("dataset_contract", B.sql(f"""
+    SELECT x.* FROM (SELECT
+      (SELECT count(*) FROM (SELECT 1 FROM datos GROUP BY estudiante_id, asignatura HAVING count(*) > 1)) AS claves,
+      count(*) FILTER (WHERE {' OR '.join(f'{c} IS NULL' for c in A.REQUIRED)}) AS nulos,
+      count(*) - count(*) FILTER (WHERE nota_p1 BETWEEN 0 AND 20 AND nota_p2 BETWEEN 0 AND 20 AND nota_p3 BETWEEN 0 AND 20) AS notas,
+      count(*) - count(*) FILTER (WHERE en_riesgo = CAST(nota_p3 < 10 AS INTEGER)) AS riesgo,
+      count(*) - count(*) FILTER (WHERE no_evaluado_p3 = (nota_p3 = 0)) AS evaluado,
+      count(*) FILTER (WHERE least({', '.join(v.name for v in A.DICTIONARY if v.name.startswith('sim_') and v.type != 'boolean')}) < 0) AS sims,
+      count(*) - count(*) FILTER (WHERE nota_p3 <= 12) AS alta FROM datos),
+      LATERAL (VALUES ('clave duplicada', claves), ('nulos en obligatorias', nulos), ('notas', notas), ('en_riesgo', riesgo),
+        ('no_evaluado', evaluado), ('sim', sims), ('nota_alta', alta)) x(control, valor)""", "datos"))
 def dataset_contract(spark, sf):
-    """The contract holds; the last control is tighter on purpose and counts rows."""
+    """Rows against the contract: those without all grades count in every control on grades; the last
+    control is tighter on purpose."""
     sims = [v.name for v in A.DICTIONARY if v.name.startswith("sim_") and v.type != "boolean"]
     grades = [F.col(f"nota_p{i}").between(0, 20) for i in (1, 2, 3)]
     return K.dataset_contract(dataset(spark, sf), A.KEY, A.REQUIRED, {
@@ -135,7 +146,7 @@ def above_mean_flag(spark, sf):
     SELECT estudiante_id, asignatura, f_inasistencia, f_reprob_previas, f_bajo_lms, n_factores_reales,
       n_factores_reales + CAST(f_bajo_lms AS INTEGER) AS n_factores_total FROM factores""", "factores"))
 def risk_factors(spark, sf):
-    return O.risk_factors(dataset(spark, sf)).select(
+    return O.risk_factors(evaluated(spark, sf)).select(
         *A.KEY, "f_inasistencia", "f_reprob_previas", "f_bajo_lms", "n_factores_reales",
         "n_factores_total")
 
@@ -163,7 +174,7 @@ def with_rate(df: DataFrame, k: str, n: str) -> DataFrame:
       FROM factores WHERE faltas_confiable GROUP BY ALL)""", "factores"))
 def risk_profiles(spark, sf):
     """Three flags, rate with Wilson interval, behaviour averages; reliable absences only."""
-    rows = O.risk_factors(dataset(spark, sf)).where("faltas_confiable")
+    rows = O.risk_factors(evaluated(spark, sf)).where("faltas_confiable")
     out = rows.groupBy("f_inasistencia", "f_reprob_previas", "f_bajo_lms").agg(
         F.count(F.lit(1)).alias("n"), F.sum("en_riesgo").alias("reprobados"),
         F.avg((F.col("sim_n_alertas") > 0).cast("int")).alias("pct_con_alerta"),
@@ -180,7 +191,7 @@ def risk_profiles(spark, sf):
     FROM (SELECT n_factores_reales, count(*) AS n, CAST(sum(en_riesgo) AS BIGINT) AS reprobados FROM factores
       WHERE faltas_confiable GROUP BY ALL)""", "factores"))
 def risk_gradient(spark, sf):
-    rows = O.risk_factors(dataset(spark, sf)).where("faltas_confiable")
+    rows = O.risk_factors(evaluated(spark, sf)).where("faltas_confiable")
     out = rows.groupBy("n_factores_reales").agg(F.count(F.lit(1)).alias("n"),
                                                 F.sum("en_riesgo").alias("reprobados"))
     return rounded(with_rate(out, "reprobados", "n"), "tasa", "ic_lo", "ic_hi")
@@ -199,9 +210,9 @@ def risk_gradient(spark, sf):
       quantile_cont(nota_p3, 0.5) FILTER (WHERE NOT no_evaluado_p3) AS gm,
       quantile_cont(nota_p3, 0.25) FILTER (WHERE NOT no_evaluado_p3) AS g1,
       quantile_cont(nota_p3, 0.75) FILTER (WHERE NOT no_evaluado_p3) AS g3
-      FROM datos GROUP BY GROUPING SETS ((asignatura), ()))""", "datos"))
+      FROM completos GROUP BY GROUPING SETS ((asignatura), ()))""", "completos"))
 def descriptives_with_total(spark, sf):
-    data = dataset(spark, sf)
+    data = evaluated(spark, sf)
     counts = R.grand_total(data, "asignatura", [
         F.count(F.lit(1)).alias("n"), F.sum("en_riesgo").alias("en_riesgo"),
         F.count_if("no_evaluado_p3").alias("no_evaluados_p3"),
@@ -218,12 +229,12 @@ def descriptives_with_total(spark, sf):
 @query("wilson_rates", B.sql(f"""
     SELECT asignatura, escuela, n, reprobados, round(reprobados / n, 6) AS tasa, {_wilson_sql('reprobados', 'n')},
       {_wilson_sql('reprobados', 'n').split(', 6) AS ic_lo')[0].replace('round(', '', 1)} > g AS prioridad
-    FROM (SELECT asignatura, escuela, count(*) AS n, CAST(sum(en_riesgo) AS BIGINT) AS reprobados FROM datos GROUP BY ALL),
-      (SELECT avg(en_riesgo) AS g FROM datos)""", "datos"))
+    FROM (SELECT asignatura, escuela, count(*) AS n, CAST(sum(en_riesgo) AS BIGINT) AS reprobados FROM completos GROUP BY ALL),
+      (SELECT avg(en_riesgo) AS g FROM completos)""", "completos"))
 def wilson_rates(spark, sf):
     """Failure rate per subject and school; priority when the lower bound tops the overall rate.
     The overall rate comes from the same group sums."""
-    groups = dataset(spark, sf).groupBy("asignatura", "escuela").agg(
+    groups = evaluated(spark, sf).groupBy("asignatura", "escuela").agg(
         F.count(F.lit(1)).alias("n"), F.sum("en_riesgo").alias("reprobados"))
     overall = groups.agg((F.sum("reprobados") / F.sum("n")).alias("g"))
     out = with_rate(groups, "reprobados", "n")
@@ -234,10 +245,10 @@ def wilson_rates(spark, sf):
 @query("persistence", B.sql(f"""
     SELECT asignatura, estado_p1, n, reprueban_p3, round(reprueban_p3 / n, 6) AS tasa, {_wilson_sql('reprueban_p3', 'n')}
     FROM (SELECT asignatura, CASE WHEN nota_p1 < 10 THEN 'reprueba_P1' ELSE 'aprueba_P1' END AS estado_p1,
-      count(*) AS n, CAST(sum(en_riesgo) AS BIGINT) AS reprueban_p3 FROM datos GROUP BY ALL)""", "datos"))
+      count(*) AS n, CAST(sum(en_riesgo) AS BIGINT) AS reprueban_p3 FROM completos GROUP BY ALL)""", "completos"))
 def persistence(spark, sf):
     state = F.when(F.col("nota_p1") < 10, "reprueba_P1").otherwise("aprueba_P1")
-    out = dataset(spark, sf).groupBy("asignatura", state.alias("estado_p1")).agg(
+    out = evaluated(spark, sf).groupBy("asignatura", state.alias("estado_p1")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("en_riesgo").alias("reprueban_p3"))
     return rounded(with_rate(out, "reprueban_p3", "n"), "tasa", "ic_lo", "ic_hi")
 
@@ -253,16 +264,16 @@ _CHI = """
     LEFT JOIN (SELECT {g}, {r} AS r, {c} AS c, count(*) AS o FROM {t} GROUP BY ALL) y USING ({g}, r, c) GROUP BY {g}"""
 
 
-@query("chi_square", B.sql(_CHI.format(g="asignatura", r="escuela", c="en_riesgo", t="datos"), "datos"))
+@query("chi_square", B.sql(_CHI.format(g="asignatura", r="escuela", c="en_riesgo", t="completos"), "completos"))
 def chi_square(spark, sf):
-    out = N.chi_square(dataset(spark, sf), ["asignatura"], "escuela", "en_riesgo")
+    out = N.chi_square(evaluated(spark, sf), ["asignatura"], "escuela", "en_riesgo")
     return rounded(out, "chi2", "v_cramer")
 
 
 @query("chi_square_tests")
 def chi_square_tests(spark, sf):
     """Chi-square with p value and Holm correction over the subjects."""
-    tests = N.with_chi2_p(N.chi_square(dataset(spark, sf), ["asignatura"], "escuela", "en_riesgo"))
+    tests = N.with_chi2_p(N.chi_square(evaluated(spark, sf), ["asignatura"], "escuela", "en_riesgo"))
     return N.holm_adjust(tests.withColumn("_f", F.lit(1)), ["_f"], tie=["asignatura"]).drop("_f")
 
 

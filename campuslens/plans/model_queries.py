@@ -12,7 +12,7 @@ from campuslens.operators import outliers as O
 from campuslens.operators.features import SCENARIOS, Encoder, leaked
 from campuslens.operators.regression import odds_ratios_clustered
 from campuslens.plans import testbed as B
-from campuslens.plans.analysis_queries import dataset, rounded
+from campuslens.plans.analysis_queries import dataset, evaluated, rounded
 from campuslens.plans.registry import query
 
 _SCORED = "SELECT l_linestatus, l_returnflag, l_linenumber, l_suppkey, l_extendedprice AS p, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y FROM lineitem"
@@ -107,7 +107,7 @@ def features_at_cut(spark, sf):
 
 
 def parts(spark, sf):
-    data = dataset(spark, sf)
+    data = evaluated(spark, sf)
     return data.where("particion = 'train'"), data.where("particion = 'test'")
 
 
@@ -199,7 +199,7 @@ def permutation_importance(spark, sf):
 @query("odds_ratios_clustered")
 def odds_ratios_clustered_query(spark, sf):
     """Risk factors with standard errors clustered by student: reliable absences, then all."""
-    rows = L.materialise(O.risk_factors(dataset(spark, sf)), "factores")
+    rows = L.materialise(O.risk_factors(evaluated(spark, sf)), "factores")
     predictors = {"alta_inasistencia": F.col("f_inasistencia").cast("int"),
                   "reprob_previas": F.col("f_reprob_previas").cast("int"),
                   "asignatura_P": (F.col("asignatura") == "P").cast("int")}
