@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Predictor lists and the six information scenarios.
@@ -52,35 +52,42 @@ def leaked(scenario: Scenario) -> list[str]:
             if c in LEAKS or c.startswith("sim_n_") or c.endswith("_total")]
 
 
-@dataclass(frozen=True)
 class Encoder:
-    """Categories as 0/1 columns (two categories give one; unseen ones give zeros), numbers and
-    flags standardised by population deviation. All statistics come from the training rows."""
-    levels: dict
-    moments: dict
+    """Categories as 0/1 columns (two categories give one; unseen and missing ones give zeros), numbers and
+    flags standardised by population deviation. All statistics come from the training rows; the
+    categories are indexed and encoded as sparse vectors by Spark, so their number has no bound here."""
+
+    def __init__(self, stages: list, levels: dict[str, list[str]], moments: dict[str, tuple[float, float]]):
+        self.stages, self.levels, self.moments = stages, levels, moments
 
     @staticmethod
-    def fit(train: DataFrame, scenario: Scenario, max_levels: int = 1000) -> "Encoder":
-        values = train.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in CATEGORICAL])).alias("x")) \
-            .select("x.*").where(F.col("v").isNotNull()).distinct().limit(max_levels + 1).collect()
-        if len(values) > max_levels:
-            raise ValueError(f"more than {max_levels} categories: not a categorical feature set")
-        levels = {c: sorted(r["v"] for r in values if r["c"] == c) for c in CATEGORICAL}
+    def fit(train: DataFrame, scenario: Scenario, categories: list[str] = CATEGORICAL) -> "Encoder":
+        index = StringIndexer(inputCols=categories, outputCols=[f"_index_{c}" for c in categories],
+                              stringOrderType="alphabetAsc", handleInvalid="keep").fit(train)
+        hot = OneHotEncoder(inputCols=index.getOutputCols(), outputCols=[f"_hot_{c}" for c in categories],
+                            dropLast=True)  # the last index stands for unseen values
+        levels = dict(zip(categories, map(list, index.labelsArray)))
+        stages, encoded = [index, hot.fit(index.transform(train.limit(0)))], []
+        for c in categories:
+            if len(levels[c]) == 2:
+                stages.append(VectorSlicer(inputCol=f"_hot_{c}", outputCol=f"_one_{c}", indices=[1]))
+            encoded.append(f"_one_{c}" if len(levels[c]) == 2 else f"_hot_{c}")
         scaled = list(scenario.numeric) + list(scenario.flags)
         row = train.agg(*[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in scaled],
-                        *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}")
-                          for c in scaled]).first()
-        return Encoder(levels, {c: (row[f"m_{c}"], row[f"s_{c}"] or 1.0) for c in scaled})
-
-    def columns(self) -> dict[str, Column]:
-        out = {}
-        for c, levels in self.levels.items():
-            for v in levels[1:] if len(levels) == 2 else levels:
-                out[f"{c}={v}"] = F.coalesce((F.col(c) == v).cast("double"), F.lit(0.0))
-        for c, (mean, sd) in self.moments.items():
-            out[c] = (F.col(c).cast("double") - mean) / sd
-        return out
-
-    def transform(self, df: DataFrame, name: str = "features") -> DataFrame:
-        return df.withColumn(name, array_to_vector(F.array(*self.columns().values())))
+                        *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in scaled]).first()
+        stages.append(VectorAssembler(inputCols=[*encoded, *[f"_scaled_{c}" for c in scaled]],
+                                      outputCol="features"))
+        return Encoder(stages, levels, {c: (row[f"m_{c}"], row[f"s_{c}"] or 1.0) for c in scaled})
+
+    def names(self) -> list[str]:
+        """Columns of the vector."""
+        return [f"{c}={v}" for c, levels in self.levels.items()
+                for v in (levels[1:] if len(levels) == 2 else levels)] + list(self.moments)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with the vector ``features``."""
+        out = df.withColumns({f"_scaled_{c}": (F.col(c).cast("double") - mean) / sd
+                              for c, (mean, sd) in self.moments.items()})
+        for stage in self.stages:
+            out = stage.transform(out)
+        return out.select(*df.columns, "features")

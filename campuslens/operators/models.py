@@ -11,13 +11,14 @@ import pandas as pd
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from campuslens.operators.bootstrap import weighted_auc
 from campuslens.operators.features import Encoder, Scenario
 from campuslens.operators.metrics import (auc_roc_pr, classification_metrics,
                                           threshold_for_recall)
+from campuslens.operators.running import histogram
 from campuslens.operators.split import SEED, grouped_folds
 from campuslens.session import materialise
 
@@ -163,40 +164,54 @@ def circular_feature(df: DataFrame, seed: int = SEED, name: str = "sim_circular"
     return df.withColumn(name, F.exp(0.15 * F.col("nota_p3") + noise))
 
 
+def hash_ranks(rows: DataFrame, hashed: str, group: str, name: str) -> DataFrame:
+    """Numbers 1..n in the order of the 64-bit hash ``hashed`` inside each ``group``. The hash's leading bits
+    cut a group into 4096 even slices, so that no window spans a group."""
+    sliced = rows.withColumn("_slice", F.shiftrightunsigned(hashed, 52))
+    sizes = sliced.groupBy(group, "_slice").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0))).drop("_size")
+    inside = Window.partitionBy(group, "_slice").orderBy(hashed)
+    return sliced.withColumn("_in", F.row_number().over(inside)).join(offsets, [group, "_slice"]).withColumn(
+        name, F.col("_before") + F.col("_in")).drop("_slice", "_in", "_before")
+
+
+def shuffled_partners(rows: DataFrame, keys: list[str], columns: list[str], repeats: int, seed: int) -> DataFrame:
+    """Every row of ``rows`` once per repeat (``_rep`` from 1) beside a partner's ``columns`` in the struct
+    ``_other``: a random permutation of the whole table. The row of place k in one hash order
+    meets the row of place k in the repeat's order, which is a join on numbers."""
+    packed = rows.select(*rows.columns, F.explode(F.sequence(F.lit(0), F.lit(repeats))).alias("_rep"))
+    placed = materialise(hash_ranks(packed.withColumn("_hash", F.xxhash64(F.lit(seed), "_rep", *keys)),
+                                    "_hash", "_rep", "_place"), "orders")
+    base = placed.where("_rep = 0").drop("_rep", "_hash")
+    other = placed.where("_rep > 0").select("_rep", "_place", F.struct(*columns).alias("_other"))
+    return base.join(other, "_place").drop("_place")
+
+
 def permutation_importance(fitted: Fitted, test: DataFrame, columns: list[str],
-                           repeats: int = 30, seed: int = SEED, bucket: int = 2000) -> DataFrame:
-    """Mean and deviation of the AUC drop when one column is shuffled.
-
-    Rows fall into random buckets of about ``bucket`` rows; values are shuffled inside each
-    bucket, one task per bucket and column, so no shuffle needs a global order."""
-    rows = test.count()
-    buckets = max(1, round(rows / bucket))
-    base_auc = auc_roc_pr(materialise(fitted.score(test, "p").select("p", LABEL), "base"), "p",
-                          LABEL).first()["auc_roc"]
-    key = F.xxhash64(F.lit(seed), GROUP, "asignatura")
-    packed = test.select(F.pmod(key, F.lit(buckets)).alias("_b"), LABEL, *columns)
-    long = packed.withColumn("_col", F.explode(F.array(*[F.lit(c) for c in columns])))
-    schema = T.StructType([T.StructField("_col", T.StringType()),
-                           T.StructField("_rep", T.IntegerType()), packed.schema[LABEL],
-                           *[packed.schema[c] for c in columns]])
-
-    def shuffle(pdf: pd.DataFrame) -> pd.DataFrame:
-        col, part = pdf["_col"].iloc[0], int(pdf["_b"].iloc[0])
-        pdf = pdf.sort_values(columns, kind="stable")
-        parts = []
-        for r in range(repeats):
-            rng = np.random.default_rng([seed, columns.index(col), part, r])
-            copy = pdf[[LABEL, *columns]].copy()
-            copy[col] = copy[col].to_numpy()[rng.permutation(len(copy))]
-            copy.insert(0, "_rep", r)
-            copy.insert(0, "_col", col)
-            parts.append(copy)
-        return pd.concat(parts, ignore_index=True)
-
-    shuffled = long.groupBy("_b", "_col").applyInPandas(shuffle, schema)
-    scored = materialise(fitted.score(shuffled, "p").select("_col", "_rep", LABEL, "p"), "perm")
-    drops = auc_roc_pr(scored, "p", LABEL, ["_col", "_rep"]).withColumn(
-        "_drop", F.lit(base_auc) - F.col("auc_roc"))
+                           repeats: int = 30, seed: int = SEED) -> DataFrame:
+    """Mean and deviation of the AUC drop when one column is permuted over all rows of ``test``.
+
+    A repeat has one permutation for all columns, so rows x repeats are shuffled; the copies with one column
+    exchanged are scored where they arise and leave as (column, repeat, score) histograms."""
+    key = [GROUP, "asignatura"]
+    rows = shuffled_partners(test.select(*dict.fromkeys([*key, LABEL, *columns])), key, columns, repeats, seed)
+
+    def copy(name: str | None) -> Column:
+        return F.struct(F.lit(name or "").alias("_col"), LABEL, *[
+            F.col("_other")[c].alias(c) if c == name else F.col(c) for c in columns])
+
+    # the unchanged copy of a repeat gives the AUC to compare with
+    copies = rows.select("_rep", F.explode(F.array(*[copy(c) for c in (None, *columns)])).alias("x"))
+    scored = fitted.score(copies.select("_rep", "x.*"), "p")
+    hist = histogram(scored, ["_col", "_rep"], "p", pos=F.col(LABEL), neg=1 - F.col(LABEL))
+
+    def counts(pdf: pd.DataFrame) -> tuple[np.ndarray, ...]:
+        return tuple(pdf[c].to_numpy(float)[:, None] for c in ("pos", "neg"))
+
+    areas = weighted_auc(materialise(hist, "permuted"), ["_col", "_rep"], "p", counts, 1)
+    base = areas.where("_col = ''").select("_rep", F.col("auc").alias("_base"))
+    drops = areas.where("_col <> ''").join(F.broadcast(base), "_rep").withColumn("_drop", F.col("_base") - F.col("auc"))
     return drops.groupBy(F.col("_col").alias("variable")).agg(
         F.avg("_drop").alias("importancia"), F.stddev_pop("_drop").alias("de")).orderBy(
         F.desc("importancia"), "variable")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from campuslens.operators import bootstrap as S
@@ -9,7 +10,7 @@ from campuslens.operators import checks as K
 from campuslens.operators import metrics as M
 from campuslens.operators import models as L
 from campuslens.operators import outliers as O
-from campuslens.operators.features import SCENARIOS, Encoder, leaked
+from campuslens.operators.features import CATEGORICAL, SCENARIOS, Encoder, leaked
 from campuslens.operators.regression import odds_ratios_clustered
 from campuslens.plans import testbed as B
 from campuslens.plans.analysis_queries import dataset, evaluated, rounded
@@ -116,10 +117,41 @@ def encode_features(spark, sf):
     """Encoded test vectors with the encoder fitted on the training rows."""
     train, test = parts(spark, sf)
     encoder = Encoder.fit(train, SCENARIOS["A_corte_P1"])
-    names = list(encoder.columns())
     return encoder.transform(test).select(
-        "estudiante_id", "asignatura", F.lit(len(names)).alias("columnas"),
-        F.col("features").cast("string").alias("vector"))
+        "estudiante_id", "asignatura", F.lit(len(encoder.names())).alias("columnas"),
+        vector_to_array("features").cast("string").alias("vector"))
+
+
+_SCENARIO = SCENARIOS["A_corte_P1"]
+
+
+B.CTES["categorias"] = (["completos"], " UNION ".join(
+    f"SELECT '{c}' AS c, {c} AS v FROM completos WHERE particion = 'train'" for c in CATEGORICAL))
+B.CTES["vistos"] = (["completos"], " UNION ALL ".join(
+    f"SELECT '{c}' AS c, {c} AS v FROM completos WHERE particion = 'test'" for c in CATEGORICAL))
+
+
+def _scaled_mean_sql(c: str) -> str:
+    train, test = (f"(CAST({c} AS DOUBLE)) FILTER (WHERE particion = '{p}')" for p in ("train", "test"))
+    return (f"SELECT '{c}' AS columna, round((avg{test} - avg{train}) / coalesce(nullif(stddev_pop{train}, 0), 1), 6) "
+            "AS media FROM completos")
+
+
+@query("encoded_means", B.sql(f"""
+    SELECT x.c || '=' || x.v AS columna, round((SELECT count(*) FROM vistos w WHERE w.c = x.c AND w.v = x.v)
+      / (SELECT count(*) FROM completos WHERE particion = 'test'), 6) AS media
+    FROM (SELECT *, count(*) OVER (PARTITION BY c) AS k, min(v) OVER (PARTITION BY c) AS primera FROM categorias) x
+    WHERE k <> 2 OR v <> primera
+    UNION ALL {' UNION ALL '.join(map(_scaled_mean_sql, (*_SCENARIO.numeric, *_SCENARIO.flags)))}""",
+    "categorias", "vistos", "completos"))
+def encoded_means(spark, sf):
+    """Mean of every encoded column over the test rows: shares of the categories, standardised numbers."""
+    train, test = parts(spark, sf)
+    encoder = Encoder.fit(train, _SCENARIO)
+    cells = encoder.transform(test).select(F.posexplode(vector_to_array("features")).alias("k", "x"))
+    names = F.array(*[F.lit(n) for n in encoder.names()])
+    return cells.groupBy("k").agg(F.round(F.avg("x"), 6).alias("media")).select(
+        F.element_at(names, F.col("k") + 1).alias("columna"), "media")
 
 
 @query("oof_metrics")
