@@ -22,6 +22,7 @@ from campuslens.llm import simhash
 from campuslens.llm.common import LOWER, RollingHash, Stage, fresh_name, mix64, pieces, stage, \
     text_buffers
 from campuslens.llm.components import components
+from campuslens.session import bounded
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -82,35 +83,45 @@ def _slots(hashes: np.ndarray) -> np.ndarray:
     return hashes >> np.uint64(64 - SLOT_BITS)
 
 
-def slot_counts(texts: DataFrame) -> np.ndarray:
-    """How many shingles of ``texts`` (node, text) fall into each slot, up to 65535."""
-    def rows(counts: dict) -> pa.RecordBatch:
+def slot_counts(texts: DataFrame, similarity: float) -> tuple[np.ndarray, int]:
+    """How many shingles of ``texts`` (node, text) fall into each slot, up to 65535, and the number of
+    shingles in all prefixes."""
+    def rows(counts: dict, total: int) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.int64()),
-             pa.array([np.minimum(c, 65535).astype(np.uint16).tobytes() for c in counts.values()],
-                      pa.binary())], ["at", "counts"])
+            [pa.array([*counts, -1], pa.int64()),
+             pa.array([*(np.minimum(c, 65535).astype(np.uint16).tobytes() for c in counts.values()),
+                       np.array([total], np.int64).tobytes()], pa.binary())], ["at", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        all_counts = np.zeros(1 << SLOT_BITS, np.uint32)
+        all_counts, total = np.zeros(1 << SLOT_BITS, np.uint32), 0
         for batch in batches:
             for part in pieces(batch, "text"):
                 for t in _lower_texts(part.column(1)):
-                    np.add.at(all_counts, _slots(shingle_set(_word_hashes(t))), np.uint32(1))
-        yield rows({k: c for k, c in enumerate(all_counts.reshape(-1, 1 << ROW_BITS)) if c.any()})
+                    hashes = shingle_set(_word_hashes(t))
+                    np.add.at(all_counts, _slots(hashes), np.uint32(1))
+                    total += prefix_length(len(hashes), similarity)
+        yield rows({k: c for k, c in enumerate(all_counts.reshape(-1, 1 << ROW_BITS)) if c.any()}, total)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
+        total = 0
         for batch in batches:
             for k, c in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                sums[k] = sums.get(k, 0) + np.frombuffer(c, np.uint16).astype(np.uint32)
-        yield rows(sums)
+                if k < 0:
+                    total += int(np.frombuffer(c, np.int64)[0])
+                else:
+                    sums[k] = sums.get(k, 0) + np.frombuffer(c, np.uint16).astype(np.uint32)
+        yield rows(sums, total)
 
-    made = np.zeros((1 << (SLOT_BITS - ROW_BITS), 1 << ROW_BITS), np.uint16)
+    made, entries = np.zeros((1 << (SLOT_BITS - ROW_BITS), 1 << ROW_BITS), np.uint16), 0
     schema = "at long, counts binary"
     for r in texts.mapInArrow(count, schema).repartition(len(made), "at").mapInArrow(
             add, schema).toLocalIterator():
-        made[r["at"]] = np.frombuffer(r["counts"], np.uint16)
-    return made.reshape(-1)
+        if r["at"] < 0:
+            entries += int(np.frombuffer(r["counts"], np.int64)[0])
+        else:
+            made[r["at"]] = np.frombuffer(r["counts"], np.uint16)
+    return made.reshape(-1), entries
 
 
 def prefix_length(n: int, similarity: float = SIMILARITY) -> int:
@@ -118,29 +129,73 @@ def prefix_length(n: int, similarity: float = SIMILARITY) -> int:
     return n - int(np.ceil(similarity * n - _EPS)) + 1 if n else 0
 
 
-def prefixes(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(shingle, node, n, at) of ``texts`` (node, text): the first shingles of each set, from the
-    rarest, with the size of the set and their positions."""
-    spark = texts.sparkSession
-    counts = spark.sparkContext.broadcast(slot_counts(texts))
-    schema = "shingle long, node long, n long, at long"
+#: A shingle in a prefix: shingle, node, size of the set, position.
+_ENTRY = np.dtype([("shingle", np.uint64), ("node", np.int64), ("n", np.int32), ("at", np.int32)])
+#: Bytes of entries that one range of shingles is to have.
+RANGE_BYTES = 16 << 20
+_ENTRY_SCHEMA = "shingle long, node long, n long, at long"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _entry_batch(entries: np.ndarray) -> pa.RecordBatch:
+    columns = [entries["shingle"].view(np.int64), entries["node"], *(entries[c].astype(np.int64) for c in ("n", "at"))]
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns],
+                                      ["shingle", "node", "n", "at"])
+
+
+def shared_prefixes(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(shingle, node, n, at) of ``texts`` (node, text): the first shingles of each set, from the rarest,
+    with the size of the set and their positions; without those that have one node only.
+
+    Entries travel packed, a row for each piece of text and range of shingles, and are sorted in the
+    range's task, so what is seen once is never written. Slots of very many shingles are not
+    gathered: their entries pass as they are, and the join that follows parts them."""
+    slots, total = slot_counts(texts, similarity)
+    counts = texts.sparkSession.sparkContext.broadcast(slots)
+    ranges = max(1, total * _ENTRY.itemsize // RANGE_BYTES + 1)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
-                sets = [shingle_set(_word_hashes(t)) for t in _lower_texts(part.column(1))]
-                sizes = np.array([len(s) for s in sets], np.int64)
-                takes = np.array([prefix_length(n, similarity) for n in sizes.tolist()], np.int64)
-                first = [s[np.argsort(counts.value[_slots(s)], kind="stable")[:k]]
-                         for s, k in zip(sets, takes.tolist(), strict=True)]
-                nodes = part.column(0).to_numpy(zero_copy_only=False)
+                made = []
+                for node, t in zip(part.column(0).to_pylist(), _lower_texts(part.column(1)), strict=True):
+                    s = shingle_set(_word_hashes(t))
+                    k = prefix_length(len(s), similarity)
+                    own = np.empty(k, _ENTRY)
+                    own["shingle"] = s[np.argsort(counts.value[_slots(s)], kind="stable")[:k]]
+                    own["node"], own["n"], own["at"] = node, len(s), np.arange(k)
+                    made.append(own)
+                entries = np.concatenate(made)
+                hot = counts.value[_slots(entries["shingle"])] == 65535
+                key = ((entries["shingle"] >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+                key[hot] = -1
+                order = np.argsort(key, kind="stable")
+                entries, key = entries[order], key[order]
+                starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else []
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(first).view(np.int64)),
-                     pa.array(np.repeat(nodes, takes)), pa.array(np.repeat(sizes, takes)),
-                     pa.array(np.concatenate([np.arange(k) for k in takes.tolist()]), pa.int64())],
-                    ["shingle", "node", "n", "at"])
+                    [pa.array(key[starts] if len(key) else [], pa.int64()),
+                     pa.array([x.tobytes() for x in np.split(entries, starts[1:])] if len(key) else [], pa.binary())],
+                    ["range", "entries"])
 
-    return texts.mapInArrow(run, schema)
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            for key, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                entries = np.frombuffer(raw.as_py(), _ENTRY)
+                if key < 0:
+                    yield _entry_batch(entries)
+                else:
+                    held.append(entries)
+        every = np.unique(np.concatenate(held or [np.empty(0, _ENTRY)]))  # by shingle, then node
+        new = np.concatenate([[True], every["shingle"][1:] != every["shingle"][:-1]]) if len(every) else []
+        group = np.cumsum(new) - 1 if len(every) else np.empty(0, np.int64)
+        often = np.bincount(group)[group] > 1 if len(every) else np.empty(0, bool)
+        for start in range(0, len(every), 1 << 16):
+            yield _entry_batch(every[start:start + (1 << 16)][often[start:start + (1 << 16)]])
+
+    packed = texts.mapInArrow(pack, "range long, entries binary")
+    # hot entries are dealt out by their content, the others by their range
+    deal = F.when(F.col("range") < 0, F.xxhash64("entries")).otherwise(F.col("range"))
+    return packed.withColumn("deal", deal).repartition(ranges, "deal").drop("deal").mapInArrow(unpack, _ENTRY_SCHEMA)
 
 
 def _may_be_similar(n, at, m, there, similarity: float):
@@ -148,14 +203,13 @@ def _may_be_similar(n, at, m, there, similarity: float):
     return F.least(n - at, m - there) >= similarity / (1 + similarity) * (n + m) - _EPS
 
 
-def buckets(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``prefixes`` whose shingle has more than one node, each once, as a stage table, with the
-    ends ``lo`` and ``hi`` (node, n, at) of the shingle's nodes."""
-    rows = Stage(prefixes(texts, similarity), "prefixes")
+def buckets(texts: DataFrame, similarity: float = SIMILARITY) -> Stage:
+    """``shared_prefixes`` with the ends ``lo`` and ``hi`` (node, n, at) of the shingle's nodes."""
+    rows = Stage(shared_prefixes(texts, similarity), "prefixes")
     it = F.struct("node", "n", "at")
     ends = rows.frame.groupBy("shingle").agg(F.min(it).alias("lo"), F.max(it).alias("hi")).where(
         "lo.node != hi.node")
-    out = stage(rows.frame.join(stage(ends, "prefix-ends"), "shingle").distinct(), "prefix-buckets")
+    out = Stage(rows.frame.join(ends, "shingle").distinct(), "prefix-buckets")
     rows.drop()
     return out
 
@@ -164,32 +218,65 @@ def end_candidates(shared: DataFrame, similarity: float = SIMILARITY) -> DataFra
     """Distinct (u, v), u > v, of each node and three of the first and last nodes of its buckets: the
     least, the greatest and the one it meets most often. That is linear in the nodes and joins most
     of a large group of copies; ``rest_candidates`` has all that remains."""
-    rows = shared.select("node", "n", "at", F.explode(F.array("lo", "hi")).alias("end"))
-    met = rows.where((F.col("node") != F.col("end.node")) & _may_be_similar(
-        F.col("n"), F.col("at"), F.col("end.n"), F.col("end.at"), similarity)).groupBy(
-        "node", F.col("end.node").alias("end")).agg(F.count(F.lit(1)).alias("times"))
-    ends = met.groupBy("node").agg(
+    def met(end: str) -> DataFrame:
+        return shared.where((F.col("node") != F.col(f"{end}.node")) & _may_be_similar(
+            F.col("n"), F.col("at"), F.col(f"{end}.n"), F.col(f"{end}.at"), similarity)).groupBy(
+            "node", F.col(f"{end}.node").alias("end")).agg(F.count(F.lit(1)).alias("times"))
+
+    ends = met("lo").union(met("hi")).groupBy("node").agg(
         F.min("end").alias("x"), F.max("end").alias("y"),
         F.max(F.struct("times", "end"))["end"].alias("z"))
     return ends.select("node", F.explode(F.array_distinct(F.array("x", "y", "z"))).alias("end")).select(
         F.greatest("node", "end").alias("u"), F.least("node", "end").alias("v")).distinct()
 
 
-def rest_candidates(shared: DataFrame, roots: DataFrame, similarity: float = SIMILARITY
+#: Bits of a set's parity map, in words of 64.
+MAP_WORDS = 16
+_MAP = [f"m{k}" for k in range(MAP_WORDS)]
+
+
+def parity_maps(texts: DataFrame) -> DataFrame:
+    """(node, m0, m1, ...) of ``texts`` (node, text): each shingle flips one of the bits. Two maps differ
+    in no more bits than the sets have shingles that are not shared, so they can rule pairs out."""
+    schema = "node long, " + ", ".join(f"{c} long" for c in _MAP)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                maps = np.zeros((part.num_rows, MAP_WORDS), np.uint64)
+                for row, t in enumerate(_lower_texts(part.column(1))):
+                    bit = shingle_set(_word_hashes(t)) & np.uint64(64 * MAP_WORDS - 1)
+                    odd = np.flatnonzero(np.bincount(bit.astype(np.int64), minlength=64 * MAP_WORDS) & 1)
+                    np.bitwise_xor.at(maps[row], odd // 64, np.uint64(1) << (odd % 64).astype(np.uint64))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), *(pa.array(c) for c in maps.view(np.int64).T.copy())], ["node", *_MAP])
+
+    return texts.mapInArrow(run, schema)
+
+
+def rest_candidates(shared: DataFrame, roots: DataFrame, texts_of, similarity: float = SIMILARITY
                     ) -> DataFrame:
     """All other distinct (u, v) of ``shared`` that may be similar and are not joined already by
-    ``roots`` (node, root)."""
+    ``roots`` (node, root): they share a first shingle, their sizes and its places allow it, and so do
+    their parity maps. ``texts_of`` gives the texts of nodes."""
     placed = shared.select("shingle", "node", "n", "at").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
     mixed = placed.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(
         "x != y").select("shingle")
-    placed = stage(placed.join(mixed, "shingle", "left_semi"), "prefix-rest")
-    a, b = placed.alias("a"), placed.alias("b")
+    placed = Stage(placed.join(mixed, "shingle", "left_semi"), "prefix-rest")
+    maps = Stage(parity_maps(texts_of(placed.frame.select("node").distinct())), "parity-maps")
+    mapped = placed.frame.join(maps.frame, "node")
+    a, b = mapped.alias("a"), mapped.alias("b")
+    differ = sum((F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}"))) for c in _MAP), F.lit(0))
+    most = (1 - similarity) / (1 + similarity) * (F.col("a.n") + F.col("b.n")) + _EPS
     met = a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.root") < F.col("b.root"))
                  & _may_be_similar(F.col("a.n"), F.col("a.at"), F.col("b.n"), F.col("b.at"),
-                                   similarity))
-    return met.select(F.greatest("a.node", "b.node").alias("u"),
-                      F.least("a.node", "b.node").alias("v")).distinct()
+                                   similarity) & (differ <= most))
+    out = Stage(met.select(F.greatest("a.node", "b.node").alias("u"),
+                           F.least("a.node", "b.node").alias("v")).distinct(), "rest-candidates")
+    placed.drop()
+    maps.drop()
+    return out.frame
 
 
 def _slice_bits(n: int) -> int:
@@ -223,11 +310,16 @@ def shingle_slices(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     return rows.mapInArrow(run, "node long, n long, bits long, slice long, hashes array<long>")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """Distinct nodes of ``pairs``."""
+    return pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
+
+
 def similar(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Those of ``pairs`` (u, v) whose texts (node, text) are similar, by all their shingles. Texts
     that no pair names are not looked at. A set of many shingles is compared in slices of its
     hashes, so that no row grows with a text."""
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    wanted = _ends(pairs)
     sets = stage(shingle_slices(texts.join(wanted, "node", "left_semi"), similarity), "shingle-sets")
 
     def side(name: str, n: str, hashes: str) -> DataFrame:
@@ -273,23 +365,28 @@ def one_per_group(docs: DataFrame) -> DataFrame:
     copies = marked.select(F.col(names[0]).alias("fp"), F.col(names[1]).alias("node"),
                            F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"),
                                     F.col(row).alias("row")).alias("it"))
-    nodes = stage(copies.groupBy("fp", "node").agg(F.min("it").alias("best")), "print-nodes")
-    sets = stage(nodes.groupBy("node").agg(F.min("best").alias("best")), "set-nodes")
-
-    def similar_of(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(
-            sets.select("node", F.col("best.row").alias(row)), "node")
-        texts = marked.select(row, F.col("text").cast("string").alias("text")).join(wanted, row)
-        return stage(similar(pairs, texts.select("node", "text")), "similar")
-
-    shared = buckets(marked.select(F.col(names[1]).alias("node"),
-                                   F.col("text").cast("string").alias("text")))
-    links = stage(simhash_links(nodes).union(
-        similar_of(stage(end_candidates(shared), "end-candidates"))), "first-links")
-    roots = components(links)
-    rest = similar_of(stage(rest_candidates(shared, roots), "rest-candidates"))
-    roots = components(roots.toDF("u", "v").union(rest))
-    best = sets.join(roots, "node", "left").groupBy(
-        F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best"))
-    return marked.join(best.select(F.col("best.row").alias(row)), row, "left_semi").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    nodes = Stage(copies.groupBy("fp", "node").agg(F.min("it").alias("best")), "print-nodes")
+    sets = Stage(nodes.frame.groupBy("node").agg(F.min("best").alias("best")), "set-nodes")
+    texts = marked.select(row, F.col("text").cast("string").alias("text"))
+
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        """Texts of nodes; a list of them that is short by count goes to the texts, which then stay in place."""
+        found = wanted.join(sets.frame.select("node", F.col("best.row").alias(row)), "node")
+        return texts.join(bounded(found, "wanted-rows"), row).select("node", "text")
+
+    shared = buckets(marked.select(F.col(names[1]).alias("node"), F.col("text").cast("string").alias("text")))
+    candidates = Stage(end_candidates(shared.frame), "end-candidates")
+    links = Stage(simhash_links(nodes.frame).union(similar(candidates.frame, texts_of(_ends(candidates.frame)))), "first-links")
+    first = components(links.frame)
+    rest = rest_candidates(shared.frame, first, texts_of)
+    shared.drop()
+    candidates.drop()
+    links.drop()
+    more = Stage(first.toDF("u", "v").union(similar(rest, texts_of(_ends(rest)))), "all-links")
+    roots = components(more.frame)
+    best = Stage(sets.frame.join(roots, "node", "left").groupBy(
+        F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best")).select(
+        F.col("best.row").alias(row)), "kept-rows")
+    for old in (nodes, sets, more):
+        old.drop()
+    return marked.join(best.frame, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
