@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -35,6 +36,13 @@ class Stage:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove the shuffle files of finished steps: it does so when the driver has
+    collected the plans that refer to them, which a driver with much free memory puts off."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     return Stage(df, label).frame
 

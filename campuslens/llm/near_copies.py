@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from campuslens.llm import simhash
-from campuslens.llm.common import LOWER, RollingHash, Stage, fresh_name, mix64, pieces, stage, \
-    text_buffers
+from campuslens.llm.common import LOWER, RollingHash, Stage, fresh_name, mix64, pieces, \
+    release_shuffles, stage, text_buffers
 from campuslens.llm.components import components
 from campuslens.session import bounded
 
@@ -209,6 +209,7 @@ def buckets(texts: DataFrame, similarity: float = SIMILARITY) -> Stage:
     it = F.struct("node", "n", "at")
     ends = rows.frame.groupBy("shingle").agg(F.min(it).alias("lo"), F.max(it).alias("hi")).where(
         "lo.node != hi.node")
+    release_shuffles(texts.sparkSession)
     out = Stage(rows.frame.join(ends, "shingle").distinct(), "prefix-buckets")
     rows.drop()
     return out
@@ -375,14 +376,24 @@ def one_per_group(docs: DataFrame) -> DataFrame:
         return texts.join(bounded(found, "wanted-rows"), row).select("node", "text")
 
     shared = buckets(marked.select(F.col(names[1]).alias("node"), F.col("text").cast("string").alias("text")))
+    release_shuffles(docs.sparkSession)
     candidates = Stage(end_candidates(shared.frame), "end-candidates")
-    links = Stage(simhash_links(nodes.frame).union(similar(candidates.frame, texts_of(_ends(candidates.frame)))), "first-links")
+    prints = Stage(simhash_links(nodes.frame), "print-links")
+    release_shuffles(docs.sparkSession)
+    near = Stage(similar(candidates.frame, texts_of(_ends(candidates.frame))), "near-links")
+    release_shuffles(docs.sparkSession)
+    links = Stage(prints.frame.union(near.frame), "first-links")
+    prints.drop()
+    near.drop()
     first = components(links.frame)
+    release_shuffles(docs.sparkSession)
     rest = rest_candidates(shared.frame, first, texts_of)
+    release_shuffles(docs.sparkSession)
     shared.drop()
     candidates.drop()
     links.drop()
     more = Stage(first.toDF("u", "v").union(similar(rest, texts_of(_ends(rest)))), "all-links")
+    release_shuffles(docs.sparkSession)
     roots = components(more.frame)
     best = Stage(sets.frame.join(roots, "node", "left").groupBy(
         F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best")).select(
