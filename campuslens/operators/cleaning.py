@@ -177,10 +177,13 @@ def state_rank(state: Column) -> Column:
 def fix_alert_documents(alerts: DataFrame, normalise=T.normalise_text,
                         categorise=T.categorise) -> DataFrame:
     """R-24 and R-25 on nested alert documents, without a shuffle: history sorted by
-    (date, state rank), state = last of the history, update time not before any date,
-    note texts normalised and categorised. Adds ``_orden``, ``_estado``, ``_act`` flags."""
+    (date, state rank; unknown states last), state = last of the history (kept if that is empty),
+    update time not before any date, note texts normalised and categorised. Adds ``_orden``,
+    ``_estado``, ``_act`` flags."""
     keyed = F.transform("historial_estados", lambda h: F.struct(
-        h["fecha"].alias("fecha"), state_rank(h["estado"]).alias("r"), h["estado"].alias("estado")))
+        h["fecha"].alias("fecha"),
+        F.coalesce(state_rank(h["estado"]), F.lit(len(ALERT_STATES))).alias("r"),
+        h["estado"].alias("estado")))
     ordered = F.transform(F.array_sort(keyed), lambda h: F.struct(
         h["estado"].alias("estado"), h["fecha"].alias("fecha")))
     notes = F.transform("notas", lambda n: F.struct(
@@ -190,15 +193,15 @@ def fix_alert_documents(alerts: DataFrame, normalise=T.normalise_text,
         *[n[c].alias(c) for c in ("nota_id", "fecha", "autor", "texto", "texto_normalizado")],
         categorise(n["texto_normalizado"]).alias("categoria")))
     out = alerts.withColumn("_orden", ordered).withColumn("notas", notes).withColumn("notas", noted)
-    last_state = F.element_at("_orden", -1)["estado"]
+    last_state = F.coalesce(F.try_element_at("_orden", F.lit(-1))["estado"], F.col("estado"))
     latest = F.greatest("creada_en", F.array_max(F.transform("_orden", lambda h: h["fecha"])),
                         F.array_max(F.transform("notas", lambda n: n["fecha"])))
     before = F.transform("historial_estados", lambda h: h["estado"])
     after = F.transform("_orden", lambda h: h["estado"])
     return out.withColumns({
-        "_orden_corregido": before != after,
-        "_estado_corregido": F.col("estado") != last_state,
-        "_act_corregido": F.col("actualizado_en") < latest,
+        "_orden_corregido": ~before.eqNullSafe(after),
+        "_estado_corregido": ~F.col("estado").eqNullSafe(last_state),
+        "_act_corregido": F.coalesce(F.col("actualizado_en") < latest, latest.isNotNull()),
     }).withColumns({
         "historial_estados": F.col("_orden"),
         "estado": last_state,

@@ -1,6 +1,7 @@
 """All registered queries."""
 
 from campuslens.plans import (  # noqa: F401
+    alert_queries,
     analysis_queries,
     document_queries,
     identity_queries,

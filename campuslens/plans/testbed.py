@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campuslens.functions.calendar import Period
+from campuslens.functions.calendar import Period, period_of
 from campuslens.operators.relational import Tables
 
 ACTIVITY_PERIODS = (
@@ -222,6 +222,64 @@ def alerts(spark: SparkSession, sf: str) -> DataFrame:
         F.floor(price / 100000).cast("bigint").alias("n_notas"))
 
 
+def alert_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw alert documents, one JSON text (``documento``) per order: line items are the history,
+    conversations the notes. The price selects the defects: foreign fields, unmarked simulation,
+    empty histories, bad ids, short notes, students of nobody, unknown states and levels; histories
+    are out of order and states and update times stale where the dates themselves say so."""
+    price = F.floor("o_totalprice").cast("bigint")
+    order = table(spark, sf, "orders").select(
+        "*", price.alias("p"), (price % 97).alias("g"),
+        F.col("o_orderkey").cast("string").alias("number"))
+    flag = F.col("l_returnflag")
+    state = F.when(flag == "A", "abierta").when(flag == "N", "en_seguimiento").otherwise("cerrada")
+    step = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", state.alias("estado"))
+    history = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.array_sort(F.collect_list(step)).alias("pasos"))
+    turn = F.struct("turn", "role", "text", (F.col("conv_id") % 2).alias("antes"))
+    talk = table(spark, sf, "conversations").groupBy(F.col("conv_id").alias("o_orderkey")).agg(
+        F.array_sort(F.collect_list(turn)).alias("turnos"))
+    docs = order.join(history, "o_orderkey", "left").join(talk, "o_orderkey", "left")
+    created = F.col("o_orderdate")
+
+    def later(days: Column) -> Column:
+        return created + F.make_dt_interval(days.cast("int"))
+
+    first = F.array(F.struct(
+        F.when(F.col("g") == 6, "reabierta").otherwise("abierta").alias("estado"),
+        created.alias("fecha")))
+    steps = F.transform("pasos", lambda s: F.struct(
+        s["estado"].alias("estado"), F.greatest(created, s["l_shipdate"]).alias("fecha")))
+    turns = F.transform("turnos", lambda t: F.struct(
+        F.concat_ws("-", F.lit("NT"), "number", t["turn"].cast("string")).alias("nota_id"),
+        later(t["turn"] - t["antes"]).alias("fecha"),
+        F.when(t["role"] == "user", "ORI-01").when(t["role"] == "assistant", "ORI-02")
+        .otherwise("SIS-00").alias("autor"), t["text"].alias("texto")))
+    short = F.array(F.struct(F.concat(F.lit("NT-"), "number").alias("nota_id"),
+                             created.alias("fecha"), F.lit("ORI-01").alias("autor"),
+                             F.lit("abc").alias("texto")))
+    none = F.array().cast("array<struct<nota_id:string,fecha:timestamp_ntz,autor:string,texto:string>>")
+    key, p1 = F.col("o_custkey"), F.substring("o_orderpriority", 1, 1)
+    fields = F.struct(
+        F.concat(F.when(F.col("g") == 3, "XX-").otherwise("AL-"),
+                 F.lpad("number", F.greatest(F.lit(5), F.length("number")), F.lit("0")))
+        .alias("alerta_id"),
+        F.when(F.col("g") == 5, -key - 1).otherwise(key).alias("estudiante_id"),
+        F.col("o_orderstatus").alias("asignatura"),
+        period_of(created, SESSION_PERIODS).alias("periodo"),
+        F.when(F.col("g") == 7, "urgente").when(p1 <= "2", "alto").when(p1 == "3", "medio")
+        .otherwise("bajo").alias("nivel"),
+        F.when(F.col("o_totalprice") < 150000, "abierta")
+        .when(F.col("o_totalprice") < 300000, "en_seguimiento").otherwise("cerrada").alias("estado"),
+        created.alias("creada_en"), later(F.col("p") % 61 - 10).alias("actualizado_en"),
+        F.when(F.col("g") != 2, F.concat(first, F.coalesce(steps, F.filter(first, lambda x: F.lit(False)))))
+        .otherwise(F.filter(first, lambda x: F.lit(False))).alias("historial_estados"),
+        F.concat(F.coalesce(turns, none), F.when(F.col("g") == 4, short).otherwise(none)).alias("notas"),
+        (F.col("g") != 1).alias("es_simulado"), F.lit("pedidos").alias("fuente"),
+        F.when(F.col("g") == 0, "sin declarar").alias("comentario"))
+    return docs.select(F.to_json(fields).alias("documento"))
+
+
 def notes(spark: SparkSession, sf: str) -> DataFrame:
     n = F.col("n_chars")
     return table(spark, sf, "documents").select(
