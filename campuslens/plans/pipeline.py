@@ -15,6 +15,7 @@ from campuslens.operators import cleaning as C
 from campuslens.operators import dataset as A
 from campuslens.operators import documents as D
 from campuslens.operators import identity as I
+from campuslens.operators import validation as W
 from campuslens.operators.relational import Tables, unpivot_grades, wide_enrolment
 from campuslens.operators.reshape import label, yes_no
 from campuslens.session import bounded, materialise
@@ -164,6 +165,29 @@ def clean_behaviour(spark: SparkSession, events_path: str, sessions_path: str, a
     return Behaviour(events, sessions, good, bad)
 
 
+@dataclass
+class Documents:
+    """Accepted documents of both collections, and the rejected ones whole."""
+    followup: DataFrame
+    alerts: DataFrame
+    quarantine: DataFrame
+
+
+def store_documents(tables: Tables, behaviour: Behaviour, periods=SCHOOL_YEAR,
+                    source: str = "simulado", rules: W.Rules = W.Rules()) -> Documents:
+    """Nests the cleaned events and sessions and holds both collections to their validators. A part
+    of a follow-up document that fails is rejected alone, with its number."""
+    nested = materialise(D.build_followup_docs(
+        tables.estudiante.select("estudiante_id"), behaviour.events.clean,
+        behaviour.sessions.clean, periods, source), "seguimiento")
+    followup, bad = W.split_valid(W.validate(nested, W.followup_checks(rules)), "seguimiento",
+                                  nested.columns)
+    alerts = materialise(behaviour.alerts, "alertas")
+    fields = [c for c in alerts.columns if not c.startswith("_")]
+    good, worse = W.split_valid(W.validate_alert_documents(alerts, rules), "alertas", fields)
+    return Documents(followup, good, bad.unionByName(worse))
+
+
 def analytic_dataset(tables: Tables, behaviour: Behaviour) -> DataFrame:
     """58 typed columns, one row per enrolment."""
     wide = wide_enrolment(tables)

@@ -82,6 +82,17 @@ def test_dataset(built):
     assert behaviour.quarantine.select("regla").collect()[0]["regla"] == "R-17"
 
 
+def test_documents_are_held_to_their_validators(built):
+    _, tables, behaviour = built
+    stored = P.store_documents(tables, behaviour)
+    assert stored.followup.count() == 9 and stored.quarantine.count() == 0
+    assert [r["alerta_id"] for r in stored.alerts.collect()] == ["AL-00001"]
+    strict = P.store_documents(tables, behaviour, rules=P.W.Rules(event_id="^X", alert_id="^X"))
+    assert strict.followup.count() == 8 and strict.alerts.count() == 0
+    assert {(r["fuente"], r["regla"]) for r in strict.quarantine.collect()} == {
+        ("seguimiento", "evento_id"), ("alertas", "alerta_id")}
+
+
 def test_bad_files_abort(spark, tmp_path):
     path = tmp_path / "x.csv"
     path.write_text("school;sex\nGP;F\n")
