@@ -26,25 +26,44 @@ iframe label legend li main menu nav ol option p pre search section select summa
 template tfoot th thead title tr ul""".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Elements whose content is not text of the page (fixed values).
-SKIP_TAGS = frozenset("""audio button canvas head iframe math noscript object option script select
-style svg template textarea title video""".split())
+SKIP_TAGS = frozenset("""annotation annotation-xml audio button canvas head iframe noscript option
+script select style svg template textarea title video""".split())
+#: Elements whose content is not markup (fixed values).
+RAW_TAGS = frozenset("iframe noscript script style template textarea title".split())
+#: Raw elements that are read as absent where their end tag is missing; the others run to the end.
+_OPTIONAL = frozenset("iframe noscript template".split())
+FOREIGN = frozenset(("svg", "math"))
 #: Start tags that close an open element of the same kind.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _P_ENDERS = BLOCK_TAGS - {"button", "label", "option", "body", "html"}
 _SCOPE = frozenset("ul ol table dl article section main div body html td th".split())
 
-#: Weights of elements on a block's path, content above zero.
+#: Weights of elements on a block's path, content above zero. A navigation or side element settles
+#: all its blocks, more than all other weights and edges of a usual page together can outweigh;
+#: the rest only leans, about as much as one or two edges to neighbours.
+SETTLED = -400
 TAG_WEIGHT = {"article": 60, "main": 40, "p": 12, "h1": 10, "h2": 8, "h3": 8, "blockquote": 8,
-              "pre": 8, "nav": -400, "aside": -400, "footer": -400, "form": -400, "header": -400,
-              "menu": -400, "dialog": -400, "search": -400, "address": -10, "li": -4}
-#: Weights of words in class, id and role values.
-NAME_WEIGHT = {w: -400 for w in """ad ads advert adverts advertisement banner breadcrumb breadcrumbs
+              "pre": 8, "address": -10, "li": -4}
+TAG_WEIGHT |= dict.fromkeys("nav aside footer form header menu dialog search".split(), SETTLED)
+#: Words of class, id and role values that name boilerplate.
+BOILERPLATE = frozenset("""ad ads advert adverts advertisement banner breadcrumb breadcrumbs
 comment comments consent cookie cookies disqus footer masthead menu modal nav navbar navigation
 newsletter notice notices popup promo promoted promotion recommended related replies reply
-share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget
-contentinfo complementary alert alerts disclaimer header""".split()}
-NAME_WEIGHT |= {w: 40 for w in "article content entry main post story body text".split()}
+share sharing sidebar signup sponsor sponsored subscribe subscription toolbar widget
+contentinfo complementary alert alerts disclaimer header""".split())
+#: Words that may stand beside them in one name: "sidebar__inner" is a side bar, "has-sidebar" and
+#: "social-history" are not.
+BESIDE = frozenset("""area article articles bar block body bottom box btn button buttons card cards
+container content entry form global google group gdpr inner item items js left link links list
+main media message navs outer overlay page pages panel posts post primary right row secondary
+section site slot social stories story text top unit wrap wrapper""".split())
+CONTENT_NAMES = frozenset("article content entry main post story body text".split())
+NAMED_CONTENT = 40
+#: Text without any element of its own, on a page without article or main.
+BARE = 12
+#: The article's own prose, whose names say nothing about its role on the page.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption".split())
 BIAS = -6
 LINK_WEIGHT = -30
 LENGTH_WEIGHT = 6
@@ -52,51 +71,85 @@ SMOOTH = 8
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(?P<raw>script|style|textarea|template|noscript|svg|iframe|title)\b"
-    r"(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/<>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*)>",
     re.S | re.I)
+_RAW_EDGE = {tag: re.compile(rf"<(/?){tag}(?=[\s/>])[^>]*>", re.I) for tag in RAW_TAGS}
 _ATTR = re.compile(r"(class|id|role|aria-label|hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
-_NAMES = re.compile(r"[a-z]+")
+_NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _SPACE = re.compile(r"\s+")
 
 
+def name_kind(token: str) -> int:
+    """-1 for one class, id or role that names boilerplate, 1 for content, 0 for neither. It names
+    boilerplate as a whole only, not by one word among others."""
+    words = {w.lower() for w in _NAMES.findall(token) if len(w) > 1}
+    if words & BOILERPLATE:
+        return -1 if words <= BOILERPLATE | BESIDE else 0
+    return 1 if words & CONTENT_NAMES else 0
+
+
 class Element:
-    __slots__ = ("tag", "parent", "depth", "weight", "skip", "link", "article")
+    __slots__ = ("tag", "parent", "depth", "own", "named", "under", "skip", "link", "article", "side",
+                 "main", "foreign", "holds", "length", "total")
 
     def __init__(self, tag: str, parent: Element | None, attrs: str = ""):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
         self.link = tag == "a" or bool(parent and parent.link)
-        self.article = tag in ("article", "main") or bool(parent and parent.article)
+        inside = bool(parent and parent.article)
+        self.article = tag in ("article", "main") or inside
+        self.main = self if tag in ("article", "main") else parent and parent.main
+        # the drawing or formula around it, but for page content inside a drawing
+        self.foreign = (self if tag in FOREIGN else
+                        None if tag == "foreignobject" else parent and parent.foreign)
         self.skip = tag in SKIP_TAGS or bool(parent and parent.skip)
-        weight = TAG_WEIGHT.get(tag, 0)
-        if tag == "header" and parent and parent.article:
-            weight = 0  # the head of an article holds its title
+        self.own = TAG_WEIGHT.get(tag, 0)
+        if tag == "header" and inside:
+            self.own = 0  # the head of an article holds its title
+        self.side = self.own == SETTLED or bool(parent and parent.side)
+        self.holds = False
+        self.length, self.total = 0, None
+        self.named = False
         if attrs and tag not in ("body", "html"):
+            kinds = set()
             for m in _ATTR.finditer(attrs):
                 name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
                 if name == "hidden" or name == "style":
                     self.skip |= name == "hidden" or bool(_HIDDEN.search(value))
                 elif name != "aria-label":
-                    words = set(_NAMES.findall(value.lower()))
-                    if parent and parent.article:
-                        words.discard("header")
-                    weight += sum(NAME_WEIGHT.get(w, 0) for w in words)
-        self.weight = weight + (parent.weight if parent else 0)
+                    for token in value.split():
+                        if not (inside and "header" in token.lower()):
+                            kinds.add(name_kind(token))
+            self.named = -1 in kinds and not (inside and tag in PROSE)
+            if 1 in kinds:
+                self.own += NAMED_CONTENT
+        self.under = self.named or bool(parent and parent.under)
+
+    def weight(self) -> int:
+        """Sum over the path; a name does not count on what holds the page's main element."""
+        path, at = [], self
+        while at and at.total is None:
+            path.append(at)
+            at = at.parent
+        total = at.total if at else 0
+        for e in reversed(path):
+            total += e.own + (SETTLED if e.named and not e.holds else 0)
+            e.total = total
+        return total
 
 
 class Block:
-    __slots__ = ("text", "element", "links")
+    __slots__ = ("text", "element", "links", "bare")
 
     def __init__(self, text: str, element: Element, links: int):
         self.text, self.element, self.links = text, element, links
+        self.bare = False
 
     def preference(self) -> int:
         """Cost of the boilerplate label less the cost of the content label."""
         share = self.links / max(1, len(self.text))
-        return (BIAS + self.element.weight + round(LINK_WEIGHT * share)
+        return (BIAS + self.element.weight() + BARE * self.bare + round(LINK_WEIGHT * share)
                 + round(LENGTH_WEIGHT * min(1.0, len(self.text) / 200)))
 
 
@@ -140,23 +193,43 @@ def blocks_of(html: str) -> list[Block]:
             here = at.parent
         return bool(at.parent)
 
-    last = 0
-    for m in _TOKEN.finditer(html):
+    def raw_end(tag: str, at: int) -> int | None:
+        """Where the raw element that starts before ``at`` ends; None if it counts as absent."""
+        edge = None
+        if (tag, "end") not in missing:
+            edge = _RAW_EDGE[tag].search(html, at)
+            while edge and not edge[1] and tag not in _OPTIONAL:
+                edge = _RAW_EDGE[tag].search(html, edge.end())  # start tags are content here
+            if not edge:
+                missing.add((tag, "end"))
+        if edge and edge[1]:
+            return edge.end()
+        return None if tag in _OPTIONAL else len(html)
+
+    last, mains, missing = 0, [], set()
+    while m := _TOKEN.search(html, last):
         text(html[last:m.start()])
         last = m.end()
         tag = m["tag"]
         if not tag:
-            if m["raw"] is None and m[0].startswith("<![CDATA["):
+            if m[0].startswith("<![CDATA["):
                 text(m[0][9:].removesuffix("]]>").replace("&", "&amp;"))
-            elif m["raw"] and m["raw"].lower() in ("title", "iframe", "textarea"):
-                flush()
             continue
         tag = tag.lower()
         if tag == "br":
             text(" ")
             continue
+        closed = (m["attrs"] or "").endswith("/")
+        if tag in RAW_TAGS:
+            if not m["end"]:
+                if tag in ("title", "iframe", "textarea") and not here.foreign:
+                    flush()
+                last = raw_end(tag, last) or last
+            continue
         if tag in BLOCK_TAGS:
             flush()
+            if here.foreign:  # a block ends an unclosed drawing or formula
+                here = here.foreign.parent
         if m["end"]:
             at = here
             while at.parent and at.tag != tag:
@@ -172,13 +245,33 @@ def blocks_of(html: str) -> list[Block]:
                     here = at.parent
             if tag in CLOSES and tag != "p":
                 close(CLOSES[tag])
-            if tag not in VOID_TAGS and not (m["attrs"] or "").endswith("/"):
+            if tag not in VOID_TAGS and not closed:
                 here = Element(tag, here, m["attrs"] or "")
+                if tag in ("article", "main"):
+                    mains.append(here)
     text(html[last:])
     flush()
+    settle_main(out, mains)
     return out
 
 
+def settle_main(blocks: list[Block], mains: list[Element]) -> None:
+    """Marks the path of the article or main element with most text of its own, outside of side
+    elements and, if there is such a one, of names of boilerplate; on a page without any, the text
+    that no element owns."""
+    for block in blocks:
+        if block.element.main:
+            block.element.main.length += len(block.text)
+        elif not mains:
+            block.bare = block.element.tag in ("#root", "body", "html")
+    open_ = [e for e in mains if not e.side and not e.skip]
+    open_ = [e for e in open_ if not e.under] or open_
+    at = max(open_, key=lambda e: e.length).parent if open_ else None
+    while at:
+        at.holds = True
+        at = at.parent
+
+
 def _distance(a: Element, b: Element) -> int:
     steps = 0
     while a is not b:
@@ -279,7 +372,9 @@ def extract_pages(pages: DataFrame, keep: list[str] | None = None, html_col: str
     """``keep`` columns (default: page_id, url) with text (empty if a page has none) and n_chars.
 
     Null html is empty; unclosed elements and truncated pages are read as far as they go; every row
-    is judged on its own, repeated ones too; columns not kept are ignored."""
+    is judged on its own, repeated ones too; columns not kept are ignored. An empty table gives an
+    empty result. A page is read whole, however long, in time and memory linear in it; on ties of
+    the cut a block is boilerplate."""
     keep = ["page_id", "url"] if keep is None else keep
     rows = pages.select(*[F.col(f"`{c}`") for c in keep], F.col(html_col).cast("string"))
     schema = T.StructType([*(rows.schema[c] for c in keep), T.StructField("text", T.StringType()),

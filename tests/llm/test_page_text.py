@@ -37,6 +37,50 @@ def test_table_pages(spark):
         assert got[page.page_id].text == want and got[page.page_id].n_chars == len(want)
 
 
+LONG = "A paragraph of the article that goes on for a while, as they do. "
+KEPT = {  # page -> text
+    f'<div class="page has-sidebar"><article><p>{LONG}</p></article></div>': LONG.strip(),
+    f'<div class="sidebar-right"><main><p>{LONG}</p></main><div class="sidebar-right"><p>{LONG}{LONG}</p></div></div>': LONG.strip(),
+    f'<article><p class="social-history">{LONG}</p><p class="related-work">Two.</p><p class="related">Three.</p></article>':
+        f"{LONG.strip()}\nTwo.\nThree.",
+    f'<article><p>One <svg width="1"/>two.</p><p>{LONG}</p></article>': f"One two.\n{LONG.strip()}",
+    f'<article><p>One <svg><title>t</title><text>no</text></svg>two.</p><svg><path><p>{LONG}</p></article>':
+        f"One two.\n{LONG.strip()}",
+    f'<body><noscript><article><p>{LONG}</p></article></body>': LONG.strip(),
+    f'<article><noscript><p>Enable it</p></noscript><p>{LONG}</p></article>': LONG.strip(),
+    f'<article><p>{LONG}<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds.</p></article>':
+        f"{LONG}x=2 holds.",
+    f'<article><p>See <object data="a">the text</object> here.</p><p>{LONG}</p></article>': f"See the text here.\n{LONG.strip()}",
+    "text only": "text only",
+    "One &amp; two<br>three": "One & two three",
+    f'<main><article><p>{LONG}</p></article><section class="comments-area"><article class="comment"><p>{LONG * 3}</p></article>'
+    f'</section></main>': LONG.strip(),
+    f'<div id="siteHeader">Head</div><div class="content"><p>{LONG}</p></div><div class="cookieBanner">We use them</div>':
+        LONG.strip(),
+    f'<article><p>{LONG}</p><script>if (a < b) "</p><p>no"</script><style>p{{}}</style><p>End.</p></article>':
+        f"{LONG.strip()}\nEnd.",
+}
+
+
+@pytest.mark.parametrize("page", KEPT)
+def test_pages_unlike_the_table(page):
+    assert P.main_text(page) == KEPT[page]
+
+
+@pytest.mark.parametrize("name,kind", [("has-sidebar", 0), ("sidebar", -1), ("sidebar__inner", -1), ("social-history", 0),
+                                       ("cookieBanner", -1), ("main-menu", -1), ("post-body", 1), ("loading", 0),
+                                       ("with-no-ads", 0), ("ad-slot-1", -1), ("", 0)])
+def test_names_count_whole(name, kind):
+    assert P.name_kind(name) == kind
+
+
+def test_long_and_deep_pages():
+    many = 20_000
+    page = f"<article>{'<div>' * many}{LONG}{'</div>' * many}{f'<p>{LONG}</p>' * many}</article>"
+    assert P.main_text(page) == "\n".join([LONG.strip()] * (many + 1))
+    assert P.main_text("<noscript>" * many + "x" + "<iframe>" * many) == "x"
+
+
 def cost(labels, preference, edges):
     return (sum(-p if not x and p < 0 else 0 for x, p in zip(labels, preference))
             + sum(w for i, j, w in edges if labels[i] != labels[j])
