@@ -1,18 +1,17 @@
 """Benchmark decontamination by winnowing.
 
-Both sides keep, of every ``window`` consecutive k-gram hashes, the smallest. With
-k + window - 1 = span, every run of ``span`` words holds at least one kept hash, and a run that both
-sides share holds the same one: no shared span is missed. Hits are then extended: each span of words
-around a kept hash is looked up, byte for byte, among the item's spans. Items shorter than a span
-are one window of their own length L, with k = L and a window of one.
+Of every ``window`` consecutive k-gram hashes the smallest is kept as a fingerprint. With
+k + window - 1 = span, every run of ``span`` words has one, and a run that both sides share has the
+same one: no shared span is missed. Documents and test items meet in a join of their fingerprints; a
+hit is extended to the span of words around it, byte for byte. Items shorter than a span are one
+window of their own length L, with k = L and a window of one.
 
-The test side is cut into blocks of bounded size by a hash of the item; each block travels with a
-map over the documents, so the documents are never shuffled and no amount of test text outgrows a
-task. Between blocks the state of a document is its covered spans and its item ids."""
+A sieve of fixed size over the test fingerprints goes along with the documents, so that only what
+may hit leaves them; it lets through every true hit. Results depend on the text alone, so hits travel
+by a 128-bit hash of it, once for all copies of a text."""
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -30,15 +29,18 @@ from campuslens.llm.common import (
     mix64,
     packed,
     pieces,
+    sliding,
     stage,
     text_buffers,
-    window_minima,
 )
+from campuslens.session import bounded
 
 SPAN = 10
 GRAM = 5
-#: Text bytes of the test side that go along with one pass over the documents.
-BLOCK_BYTES = 2 << 20
+#: Fingerprints are sieved by this many of their bits: 2 MB of flags, whatever the test table.
+SIEVE_BITS = 24
+#: Words of the contract, on text whose A-Z are not lower-cased yet.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _B = np.arange(256)
 #: Digits, a-z after lower-casing, and every byte of a character beyond ASCII.
 WORD_BYTE = ((_B >= 48) & (_B <= 57)) | ((_B >= 97) & (_B <= 122)) | (_B >= 128)
@@ -82,152 +84,145 @@ class Words:
         return b" ".join(data[a:b].tobytes() for a, b in zip(
             self.starts[at:at + length].tolist(), self.ends[at:at + length].tolist()))
 
-    def kept(self, span: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and hashes of the winnowed k-grams."""
-        grams = self.grams(k)
-        marks = window_minima(grams, span - k + 1, self.left[:len(grams)] >= span)
-        at = np.flatnonzero(marks)
-        return at, grams[at]
-
-
-class Block:
-    """Index of some test items: winnowed hashes, and each window's bytes with its items."""
-
-    def __init__(self, items: list[tuple[str, bytes]], span: int = SPAN, gram: int = GRAM):
-        self.span, self.gram = span, gram
-        self.windows: dict[int, dict[bytes, set[str]]] = defaultdict(lambda: defaultdict(set))
-        data = np.frombuffer(b"".join(t for _, t in items), np.uint8)
-        offsets = np.concatenate([[0], np.cumsum([len(t) for _, t in items])]).astype(np.int64)
-        words = Words(data, offsets)
-        found: dict[int, list[np.ndarray]] = defaultdict(list)
-        at, hashes = words.kept(span, gram)
-        found[span].append(hashes)
-        for i, (item, _) in enumerate(items):
-            first, end = int(words.first[i]), int(words.first[i + 1])
-            length = min(span, end - first)
-            if not length:
-                continue
-            for at in range(first, end - length + 1):
-                self.windows[length][words.window(at, length)].add(item)
-            if length < span:
-                found[length].append(words.grams(length)[first:first + 1])
-        self.windows = {k: {w: sorted(v) for w, v in d.items()} for k, d in self.windows.items()}
-        self.hashes = {}
-        for k in self.windows:
-            values = np.unique(np.concatenate(found[k]))
-            sieve = np.zeros(1 << 20, bool)
-            sieve[(values >> np.uint64(44)).astype(np.int64)] = True
-            self.hashes[k] = values, sieve
-
-    def _shared(self, length: int, hashes: np.ndarray) -> np.ndarray:
-        values, sieve = self.hashes[length]
-        maybe = np.flatnonzero(sieve[(hashes >> np.uint64(44)).astype(np.int64)])
-        place = np.searchsorted(values, hashes[maybe])
-        place[place == len(values)] = 0
-        return maybe[values[place] == hashes[maybe]]
-
-    def hits(self, words: Words) -> Iterator[tuple[int, int, list[str]]]:
-        """(place, length, items) of every window of an item that occurs in the texts."""
-        for length, windows in self.windows.items():
-            if length == self.span:
-                at, hashes = words.kept(self.span, self.gram)
-                at = at[self._shared(length, hashes)]
-                back = np.arange(self.span - self.gram + 1)
-                starts = np.unique((at[:, None] - back).ravel())
-                starts = starts[starts >= 0]
-            else:
-                starts = self._shared(length, words.grams(length))
-            starts = starts[words.left[starts] >= length]
-            for start in starts.tolist():
-                items = windows.get(words.window(start, length))
-                if items:
-                    yield start, length, items
-
-
-def _merge(spans: list[tuple[int, int]]) -> list[int]:
-    out: list[int] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1]:
-            out[-1] = max(out[-1], b)
+    def windows(self, length: int, span: int, k: int) -> np.ndarray:
+        """Fingerprint of the window at each place: the smallest hash of its k-grams (of the whole
+        window, where it is shorter than a span); 0 where the text has fewer words left."""
+        if length < span:
+            out = self.grams(length)
         else:
-            out += [a, b]
-    return out
+            grams = self.grams(k)
+            out = sliding(grams, span - k + 1, np.minimum) if len(grams) > span - k else grams[:0]
+        return np.where(self.left[:len(out)] >= length, out, np.uint64(0))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None,
                   text_col: str = "text", item_col: str = "item_id", span: int = SPAN,
-                  gram: int = GRAM, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                  gram: int = GRAM) -> DataFrame:
     """``keep`` columns of ``docs`` (default: doc_id) with n_words, n_hit (words inside an
     occurrence of a window), n_items, items_sha256 and contaminated.
 
     Words are runs of letters, digits and characters beyond ASCII, A-Z lower-cased. Null has no
     words; an item without words has no window; items with equal ids count once, a null item id is
-    written as "null"; rows are judged one by one, so repeated rows get equal results; an empty test
-    table leaves every document clean. Columns of ``docs`` that are not kept are ignored."""
+    written as "null"; equal texts get equal results, repeated rows too; equal fingerprints of
+    different words are told apart by their bytes; an empty test table leaves every document clean.
+    A text is read whole by one task, about 60 bytes of memory a byte of it. Columns of ``docs`` that
+    are not kept are ignored."""
     keep = ["doc_id"] if keep is None else keep
     spark = docs.sparkSession
-    text, spans, found = (fresh_name(docs, n) for n in ("_text", "_spans", "_items"))
+    text, one, two = (fresh_name(docs, n) for n in ("_text", "_one", "_two"))
     frame = docs.select(*[F.col(f"`{c}`") for c in keep],
                         F.col(text_col).cast("string").alias(text))
-    tests = benchmark.where(F.col(text_col).isNotNull()).select(
+    frame = frame.withColumns({one: F.xxhash64(F.lit(11), text), two: F.xxhash64(F.lit(12), text)})
+    tests = stage(item_windows(benchmark, text_col, item_col, span, gram), "test-windows")
+    lengths = sorted(r[0] for r in tests.select("length").distinct().collect())  # 1 to span
+    hits = document_windows(frame.select(F.col(one).alias("one"), F.col(two).alias("two"),
+                                         F.col(text).alias("text")),
+                            sieve_of(tests), lengths, span, gram)
+    # copies of a text give equal rows; one stays
+    hits = hits.dropDuplicates(["one", "two", "length", "print", "window"])
+    spans = F.transform("starts", lambda s: F.struct(
+        s.alias("a"), (s + F.col("length")).alias("b")))
+    marked = hits.join(tests, ["length", "print", "window"]).groupBy("one", "two").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(spans)))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("e"))
+    covered = F.aggregate("spans", none, lambda s, x: F.struct(
+        (s["n"] + F.greatest(F.lit(0), x["b"] - F.greatest(x["a"], s["e"]))).alias("n"),
+        F.greatest(s["e"], x["b"]).alias("e")), lambda s: s["n"])
+    n_words, n_hit, n_items, digest, contaminated = RESULT.names
+    marked = bounded(marked.select(
+        F.col("one").alias(one), F.col("two").alias(two), covered.alias(n_hit),
+        F.size("items").cast("long").alias(n_items),
+        F.sha2(F.array_join("items", ","), 256).alias(digest)), "contaminated-texts")
+    words = F.regexp_count(F.col(text), F.lit(WORD))
+    out = frame.join(marked, [one, two], "left")
+    return out.select(
+        *[F.col(f"`{c}`") for c in keep],
+        F.coalesce(words, F.lit(0)).cast("long").alias(n_words),
+        F.coalesce(marked[n_hit], F.lit(0)).alias(n_hit),
+        F.coalesce(marked[n_items], F.lit(0)).alias(n_items),
+        F.coalesce(marked[digest], F.sha2(F.lit(""), 256)).alias(digest),
+        (F.coalesce(marked[n_hit], F.lit(0)) > 0).alias(contaminated))
+
+
+def item_windows(benchmark: DataFrame, text_col: str, item_col: str, span: int, gram: int
+                 ) -> DataFrame:
+    """length, print, window and items: every window of the test items once, with the sorted ids
+    of the items that have it."""
+    rows = benchmark.where(F.col(text_col).isNotNull()).select(
         F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"),
-        F.col(text_col).cast("binary").alias("body"))
-    size = tests.agg(F.sum(F.length("body"))).first()[0] or 0
-    blocks = int(size // block_bytes) + 1
-    kept_fields = [frame.schema[c] for c in keep]
-
-    def apply(block: Block, later: bool, last: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part in pieces(batch, text):
-                    words = Words(*text_buffers(part.column(part.schema.get_field_index(text))))
-                    n = part.num_rows
-                    covered: dict[int, list[tuple[int, int]]] = defaultdict(list)
-                    items: dict[int, set[str]] = defaultdict(set)
-                    for start, length, names in block.hits(words):
-                        row = int(words.text_of[start])
-                        start -= int(words.first[row])
-                        covered[row].append((start, start + length))
-                        items[row].update(names)
-                    if later:
-                        old = part.column(part.schema.get_field_index(spans)).to_pylist()
-                        names = part.column(part.schema.get_field_index(found)).to_pylist()
-                        for row in range(n):
-                            if old[row]:
-                                covered[row] += zip(old[row][::2], old[row][1::2])
-                                items[row].update(names[row])
-                    merged = [_merge(covered[r]) if r in covered else [] for r in range(n)]
-                    ids = [sorted(items[r]) if r in items else [] for r in range(n)]
-                    kept = part.columns[:len(keep)]
-                    if not last:
-                        yield pa.RecordBatch.from_arrays(
-                            [*kept, part.column(part.schema.get_field_index(text)),
-                             pa.array(merged, pa.list_(pa.int64())),
-                             pa.array(ids, pa.list_(pa.string()))], [*keep, text, spans, found])
+        F.col(text_col).cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                words = Words(*text_buffers(part.column(1)))
+                names = part.column(0)
+                count = np.diff(words.first)
+                for length in np.unique(np.minimum(count, span)).tolist():
+                    if not length:
                         continue
-                    hit = [sum(m[1::2]) - sum(m[::2]) for m in merged]
+                    prints = words.windows(length, span, gram)
+                    fits = (count >= span) if length == span else (count == length)
+                    at = np.flatnonzero((prints > 0) & fits[words.text_of[:len(prints)]])
                     yield pa.RecordBatch.from_arrays([
-                        *kept, pa.array(np.diff(words.first).astype(np.int64)),
-                        pa.array(hit, pa.int64()), pa.array([len(i) for i in ids], pa.int64()),
-                        pa.array([hashlib.sha256(",".join(i).encode()).hexdigest() for i in ids]),
-                        pa.array([h > 0 for h in hit])], [*keep, *RESULT.names])
-        return run
-
-    state = T.StructType([*kept_fields, T.StructField(text, T.StringType()),
-                          T.StructField(spans, T.ArrayType(T.LongType())),
-                          T.StructField(found, T.ArrayType(T.StringType()))])
-    for b in range(blocks):
-        part = tests
-        if blocks > 1:
-            part = tests.where(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == b)
-        # about block_bytes of test text, whatever the size of the test table
-        block = Block([(r["item"], bytes(r["body"])) for r in part.collect()], span, gram)
-        last = b == blocks - 1
-        schema = T.StructType([*kept_fields, *RESULT.fields]) if last else state
-        frame = frame.mapInArrow(apply(block, b > 0, last), schema)
-        if not last:
-            frame = stage(frame, "decontaminate")
-    return frame
+                        pa.array(np.full(len(at), length, np.int32)),
+                        pa.array(prints[at].view(np.int64)),
+                        pa.array([words.window(i, length) for i in at.tolist()], pa.binary()),
+                        names.take(pa.array(words.text_of[at]))],
+                        ["length", "print", "window", "item"])
+
+    found = rows.mapInArrow(run, "length int, print long, window binary, item string")
+    return found.groupBy("length", "print", "window").agg(
+        F.array_sort(F.collect_set("item")).alias("items"))
+
+
+def sieve_of(tests: DataFrame) -> np.ndarray:
+    """One flag per value of a fingerprint's upper SIEVE_BITS bits; 2 MB at most reach the driver."""
+    slot = F.shiftrightunsigned("print", 64 - SIEVE_BITS) + 1
+    parts = tests.groupBy(F.bitmap_bucket_number(slot).alias("at")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+    sieve = np.zeros(1 << SIEVE_BITS >> 3, np.uint8)
+    for row in parts.collect():
+        bits = np.frombuffer(bytes(row["bits"]), np.uint8)
+        at = (row["at"] - 1) * 4096
+        sieve[at:at + len(bits)] = bits[:len(sieve) - at]
+    return sieve
+
+
+def document_windows(texts: DataFrame, sieve: np.ndarray, lengths: list[int], span: int, gram: int
+                     ) -> DataFrame:
+    """one, two, length, print, window, starts: the windows of each text whose fingerprint passes
+    the sieve, once per text, with all their places (word numbers)."""
+    shift = np.uint64(64 - SIEVE_BITS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                words = Words(*text_buffers(part.column(2)))
+                for length in lengths:
+                    prints = words.windows(length, span, gram)
+                    slot = (prints >> shift).astype(np.int64)
+                    passed = sieve[slot >> 3] >> (slot & 7).astype(np.uint8) & 1
+                    found: dict[tuple[int, bytes], list[int]] = defaultdict(list)
+                    for at in np.flatnonzero((prints > 0) & (passed > 0)).tolist():
+                        found[int(words.text_of[at]), words.window(at, length)].append(at)
+                    if not found:
+                        continue
+                    row = np.array([r for r, _ in found], np.int64)
+                    first = np.array([p[0] for p in found.values()], np.int64)
+                    starts = [(np.array(p) - words.first[r]).tolist()
+                              for (r, _), p in found.items()]
+                    yield pa.RecordBatch.from_arrays([
+                        part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)),
+                        pa.array(np.full(len(row), length, np.int32)),
+                        pa.array(prints[first].view(np.int64)),
+                        pa.array([w for _, w in found], pa.binary()),
+                        pa.array(starts, pa.list_(pa.int64()))],
+                        ["one", "two", "length", "print", "window", "starts"])
+
+    return texts.mapInArrow(run, "one long, two long, length int, print long, window binary, "
+                                 "starts array<long>")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -36,8 +36,9 @@ def run(spark, docs_frame, docs, items, **kw):
     return sorted((tuple(r) for r in D.decontaminate(frame, bench, **kw).collect()), key=repr)
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 21, 100])
-def test_against_brute_force(spark, docs_frame, odd_rows, block_bytes):
+@pytest.mark.parametrize("sieve_bits", [24, 3])
+def test_against_brute_force(spark, docs_frame, odd_rows, sieve_bits, monkeypatch):
+    monkeypatch.setattr(D, "SIEVE_BITS", sieve_bits)
     rng = random.Random(1)
     vocabulary = ["alpha", "Beta", "gamma", "ñu", "7", "x9"]
     text = lambda n: rng.choice([" ", ", ", "\n"]).join(rng.choice(vocabulary) for _ in range(n))
@@ -48,7 +49,7 @@ def test_against_brute_force(spark, docs_frame, odd_rows, block_bytes):
         docs.append((100 + i, f"{text(5)} {t} {text(4)} {(t or '')[:30]}"))
     docs.append((200, "the one " * 50))
     docs += odd_rows
-    assert run(spark, docs_frame, docs, items, block_bytes=block_bytes) == brute(docs, items)
+    assert run(spark, docs_frame, docs, items) == brute(docs, items)
 
 
 def test_long_items_only(spark, docs_frame):
