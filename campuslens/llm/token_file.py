@@ -225,7 +225,7 @@ def read_tokens(spark, path: str) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 bounds = Bounds(row["bounds"])
-                ends = bounds.all()
+                ends = np.array([bounds.select(i) for i in range(bounds.count)], np.int64)
                 starts = np.concatenate([[0], ends[:-1]])
                 ids = np.frombuffer(row["ids"], "<u2" if bounds.id_bytes == 2 else "<u4")
                 view = memoryview(ids.astype("<u4").tobytes())
