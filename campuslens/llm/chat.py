@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from campuslens.llm.common import stage
+
 #: Control strings that texts must not contain after escaping (fixed values).
 CONTROL = ("<|", "|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 _MARK = re.compile("|".join(rf"{re.escape(c[0])}(?={re.escape(c[1:])})" for c in CONTROL))
@@ -220,3 +222,10 @@ def read_back(formatted: DataFrame) -> DataFrame:
             yield done()
 
     return formatted.mapInArrow(run, READ_BACK)
+
+
+def chat_round_trip(turns: DataFrame) -> DataFrame:
+    """Writes the formatted rows of ``turns`` to the shared folder and digests what is read back; the
+    rows of a conversation are gathered again, as readers split and pack files as they like."""
+    written = stage(format_chat(turns), "chat")
+    return read_back(written.repartition("conv_id").sortWithinPartitions("conv_id", "chunk"))

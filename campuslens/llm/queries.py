@@ -59,7 +59,7 @@ def op6_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   turns.schema)
     parts = turns.union(extra).select("conv_id", "turn", "role",
                                       chat.text_part(F.col("text")).alias("parts"))
-    return chat.read_back(chat.format_chat(parts))
+    return chat.chat_round_trip(parts)
 
 
 def op7_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:

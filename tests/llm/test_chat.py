@@ -47,6 +47,12 @@ def test_long_conversation_goes_on_in_more_rows(spark):
     assert sorted(tuple(r)[:5] for r in chat.read_back(out).collect()) == brute(rows)
 
 
+def test_written_and_read(spark):
+    rows = ROWS + [(5, i, "assistant" if i % 2 else "user", f"{i} " * 3000) for i in range(200)]
+    got = chat.chat_round_trip(plain(spark, rows)).collect()
+    assert sorted((tuple(r)[:5] for r in got), key=repr) == brute(rows)
+
+
 def test_empty(spark):
     assert chat.read_back(chat.format_chat(plain(spark, []))).count() == 0
 
