@@ -1,5 +1,6 @@
 import math
 import random
+import struct
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,6 +44,15 @@ def test_ties_copies_and_odd_rows(spark, leaf, monkeypatch):
     assert run(spark, rows) == brute(rows)
 
 
+def test_scores_beyond_64_bits(spark):
+    rng = random.Random(5)
+    rows = [(i, [rng.choice([1e17, -1e17, 1e16, 3.0, 0.5]), rng.choice([1.0, 1e12, -2.0])]) for i in range(120)]
+    rows += [(200, [1e17, 1.0]), (201, [1.0, 1.0]), (300, [3e38, -3e38]), (400, [-1e9, 2e9])]
+    rows = [(i, [struct.unpack("f", struct.pack("f", x))[0] for x in v]) for i, v in rows]
+    low, high = -2**63, 2**63 - 1
+    assert run(spark, rows) == [(q, n, v, max(low, min(high, s))) for q, n, v, s in brute(rows)]
+
+
 def test_no_query_and_empty(spark):
     assert run(spark, [(1, [1.0])]) == []
     assert run(spark, []) == []
