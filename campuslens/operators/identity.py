@@ -208,6 +208,15 @@ def identity_ids(rows: DataFrame, side: Column, row_id: str, evidence: DataFrame
     return second.unionByName(paired).unionByName(fresh)
 
 
+def unmatched(rows: DataFrame, side: Column, row_id: str, evidence: DataFrame) -> DataFrame:
+    """Rows of both files that are in no accepted pair."""
+    taken = evidence.where("aceptado").select(F.explode(F.array(
+        F.struct(F.lit(True).alias("_a"), F.col("fila_a").alias(row_id)),
+        F.struct(F.lit(False).alias("_a"), F.col("fila_b").alias(row_id)))).alias("x")).select("x.*")
+    return rows.withColumn("_a", side).join(taken, ["_a", row_id], "left_anti") \
+        .select(*rows.columns)
+
+
 def near_misses(rows: DataFrame, side: Column, row_id: str, columns: list[str]) -> DataFrame:
     """Profiles of the two files agreeing on all columns but exactly one.
 

@@ -20,6 +20,29 @@ B.CTES["bloques"] = (["registros"], """
     SELECT k1, k2, k3, count(*) FILTER (WHERE archivo = 'A') AS candidatos_a,
       count(*) FILTER (WHERE archivo = 'B') AS candidatos_b FROM registros GROUP BY ALL
     HAVING count(*) FILTER (WHERE archivo = 'A') > 0 AND count(*) FILTER (WHERE archivo = 'B') > 0""")
+B.CTES["parejas"] = (["registros", "bloques"], f"""
+    SELECT *, s >= {THRESHOLD} AND count(*) OVER (PARTITION BY k1, k2, k3, fa, s) = 1
+      AND count(*) OVER (PARTITION BY k1, k2, k3, fb, s) = 1 AS clara FROM (
+      SELECT k1, k2, k3, candidatos_a, candidatos_b, a.fila AS fa, b.fila AS fb, {_AGREE} AS s,
+        dense_rank() OVER (PARTITION BY k1, k2, k3 ORDER BY CASE WHEN candidatos_a <= candidatos_b THEN a.fila ELSE b.fila END) AS turno,
+        CASE WHEN candidatos_a <= candidatos_b THEN b.fila ELSE a.fila END AS otra
+      FROM registros a JOIN registros b USING (k1, k2, k3) JOIN bloques USING (k1, k2, k3)
+      WHERE a.archivo = 'A' AND b.archivo = 'B')""")
+# every way to give each row of the smaller file a row of the larger one, block by block
+B.CTES["optimos"] = (["bloques", "parejas"], """
+    WITH RECURSIVE elegir AS (
+      SELECT k1, k2, k3, 0 AS i, least(candidatos_a, candidatos_b) AS m, [CAST(-1 AS BIGINT)] AS usadas, 0 AS total,
+        CAST([] AS STRUCT(fa BIGINT, fb BIGINT, s INTEGER, clara BOOLEAN)[]) AS hechas FROM bloques
+      UNION ALL SELECT k1, k2, k3, i + 1, m, list_append(usadas, otra), total + s,
+        list_append(hechas, struct_pack(fa := fa, fb := fb, s := CAST(s AS INTEGER), clara := clara))
+      FROM elegir JOIN parejas USING (k1, k2, k3) WHERE turno = i + 1 AND NOT list_contains(usadas, otra))
+    SELECT k1, k2, k3, m, max(total) AS total, arg_max(hechas, total) AS hechas FROM elegir WHERE i = m GROUP BY ALL""")
+B.CTES["aceptadas"] = (["optimos"], """
+    SELECT k1, k2, k3, p.fa AS fila_a, p.fb AS fila_b, p.s AS coincidencias
+    FROM (SELECT k1, k2, k3, unnest(hechas) AS p FROM optimos) WHERE p.clara""")
+B.CTES["sin_pareja"] = (["registros", "aceptadas"], """
+    SELECT * FROM registros WHERE CASE archivo WHEN 'A' THEN fila NOT IN (SELECT fila_a FROM aceptadas)
+      ELSE fila NOT IN (SELECT fila_b FROM aceptadas) END""")
 
 
 def first_file():
@@ -59,6 +82,21 @@ def identity_pairs(spark, sf):
     return evidence(spark, sf)
 
 
+@query("identity_totals", B.sql("""
+    SELECT k1, k2, k3, CAST(m AS BIGINT) AS pares, CAST(total AS BIGINT) AS coincidencias FROM optimos""", "optimos"))
+def identity_totals(spark, sf):
+    """Pairs and total agreement of the assignment in every block; the SQL tries all assignments."""
+    return evidence(spark, sf).groupBy(*KEYS).agg(
+        F.sum("n_pares").alias("pares"),
+        F.sum(F.col("coincidencias") * F.col("n_pares")).alias("coincidencias"))
+
+
+@query("identity_accepted", B.sql("SELECT * FROM aceptadas", "aceptadas"))
+def identity_accepted(spark, sf):
+    """Pairs that reach the threshold with a score that is theirs alone in row and column."""
+    return evidence(spark, sf).where("aceptado").select(*KEYS, "fila_a", "fila_b", "coincidencias")
+
+
 @query("identity_ids", B.sql("""
     SELECT 'B' AS archivo, fila, row_number() OVER (ORDER BY fila) AS estudiante_id FROM registros WHERE archivo = 'B'""",
     "registros"))
@@ -68,7 +106,12 @@ def identity_ids(spark, sf):
     return dense_numbers(second, "fila", "estudiante_id").select("archivo", "fila", "estudiante_id")
 
 
-@query("identity_resolution")
+@query("identity_resolution", B.sql("""
+    SELECT archivo, fila, row_number() OVER (ORDER BY fila) AS estudiante_id FROM registros WHERE archivo = 'B'
+    UNION ALL SELECT 'A', fila_a, n FROM aceptadas JOIN (
+      SELECT fila AS fila_b, row_number() OVER (ORDER BY fila) AS n FROM registros WHERE archivo = 'B') USING (fila_b)
+    UNION ALL SELECT archivo, fila, row_number() OVER (ORDER BY fila) + (SELECT count(*) FROM registros WHERE archivo = 'B')
+    FROM sin_pareja WHERE archivo = 'A'""", "registros", "aceptadas", "sin_pareja"))
 def identity_resolution(spark, sf):
     """Every row of both files with its id."""
     rows = B.registers(spark, sf)
@@ -82,11 +125,13 @@ def identity_resolution(spark, sf):
       SELECT a, b, {' '.join(['CASE'] + [f"WHEN a.{c} <> b.{c} THEN '{c}'" for c in KEYS + ATTRIBUTES] + ['END'])} AS atributo,
         {' '.join(['CASE'] + [f"WHEN a.{c} <> b.{c} THEN a.{c}" for c in KEYS + ATTRIBUTES] + ['END'])} AS va,
         {' '.join(['CASE'] + [f"WHEN a.{c} <> b.{c} THEN b.{c}" for c in KEYS + ATTRIBUTES] + ['END'])} AS vb
-      FROM registros a JOIN registros b ON a.archivo = 'A' AND b.archivo = 'B' AND {_ALL} = {len(KEYS + ATTRIBUTES) - 1})
+      FROM sin_pareja a JOIN sin_pareja b ON a.archivo = 'A' AND b.archivo = 'B' AND {_ALL} = {len(KEYS + ATTRIBUTES) - 1})
     GROUP BY atributo, va, vb, {', '.join(f'CASE WHEN atributo <> {chr(39)}{c}{chr(39)} THEN a.{c} END' for c in KEYS + ATTRIBUTES)}""",
-    "registros"))
+    "sin_pareja"))
 def identity_near_miss(spark, sf):
-    return I.near_misses(B.registers(spark, sf), first_file(), "fila", KEYS + ATTRIBUTES)
+    """R-12b: only rows without an accepted partner can be missed pairs."""
+    rows = I.unmatched(B.registers(spark, sf), first_file(), "fila", evidence(spark, sf))
+    return I.near_misses(rows, first_file(), "fila", KEYS + ATTRIBUTES)
 
 
 B.CTES["marcas"] = ([], """

@@ -194,15 +194,37 @@ def analytic_dataset(tables: Tables, behaviour: Behaviour) -> DataFrame:
     alerts = D.alerts_per_enrolment(behaviour.alerts.withColumn("n_notas", F.size("notas")))
     merged = A.integrate(wide, D.lms_activity(behaviour.events.clean),
                          D.sessions_per_enrolment(behaviour.sessions.clean), alerts)
-    return A.typed(A.derive(materialise(merged, "integrada")))
+    staged = materialise(merged, "integrada")
+    before, after = tables.matricula.count(), staged.count()
+    if before != after:
+        raise ValueError(f"integration made {after} rows of {before} enrolments")
+    return A.typed(A.derive(staged))
 
 
-def register_tables(spark: SparkSession, paths: dict[str, str]) -> Tables:
-    """Register CSVs (by subject code) to the six normalised tables."""
+@dataclass
+class Register:
+    """The six tables with the reports of the identity stage (R-11, R-12b, R-13)."""
+    tables: Tables
+    repeated_keys: DataFrame
+    near_misses: DataFrame
+    conflicts: DataFrame
+
+
+def load_register(spark: SparkSession, paths: dict[str, str]) -> Register:
+    """Register CSVs (by subject code) to the six normalised tables and the identity reports."""
     parts = [read_register(spark, path, subject) for subject, path in paths.items()]
     register = parts[0]
     for p in parts[1:]:
         register = register.unionByName(p)
     register = materialise(register, "registro")
     diagnose(register)
-    return normalise(materialise(resolve(register), "identidad"))
+    ids = materialise(resolve(register), "identidad")
+    repeated = ids.groupBy("asignatura", *V.IDENTITY_KEY).agg(F.count(F.lit(1)).alias("filas")) \
+        .where("filas > 1")
+    return Register(normalise(ids), repeated, register_near_misses(ids),
+                    I.survivorship_conflicts(ids, "estudiante_id", V.PERSONAL_ATTRIBUTES))
+
+
+def register_tables(spark: SparkSession, paths: dict[str, str]) -> Tables:
+    """The six normalised tables of the register CSVs."""
+    return load_register(spark, paths).tables

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from campuslens.operators.identity import identity_evidence, identity_ids, near_misses
+from campuslens.operators.identity import identity_evidence, identity_ids, near_misses, unmatched
 
 ATTR = ["d1", "d2", "d3", "d4"]
 COLUMNS = ["archivo", "fila", "k", *ATTR]
@@ -64,3 +64,18 @@ def test_near_miss_names_the_attribute(spark):
     got = near_misses(df, F.col("archivo") == "A", "fila", ["k", *ATTR]).collect()
     assert [(r["fila_a"], r["fila_b"], r["atributo_distinto"], r["valor_a"], r["valor_b"])
             for r in got] == [(1, 7, "d3", "1", "9")]
+
+
+def test_accepted_partners_are_no_near_misses(spark):
+    rows = [("A", 1, "x", "1", "1", "1", "1"), ("B", 1, "x", "1", "1", "1", "2"),
+            ("A", 2, "y", "1", "1", "1", "1"), ("B", 3, "z", "1", "1", "1", "1"),
+            ("B", 2, None, "1", "1", "1", None)]
+    df = spark.createDataFrame(rows, COLUMNS)
+    side = F.col("archivo") == "A"
+    ev = identity_evidence(df, side, "fila", ["k"], ATTR, 3)
+    rest = unmatched(df, side, "fila", ev)
+    assert rest.columns == COLUMNS
+    assert {(r["archivo"], r["fila"]) for r in rest.collect()} == {("A", 2), ("B", 2), ("B", 3)}
+    got = [(r["fila_a"], r["fila_b"], r["atributo_distinto"]) for r in
+           near_misses(rest, side, "fila", ["k", *ATTR]).collect()]
+    assert got == [(2, 3, "k")]

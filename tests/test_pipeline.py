@@ -1,6 +1,7 @@
 """Small end-to-end run on literal register files and JSON sources."""
 
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,6 +104,25 @@ def test_bad_files_abort(spark, tmp_path):
         R.read_register(spark, bad, "MAT").collect()
 
 
+def test_identity_reports(spark, tmp_path):
+    mat = write_csv(tmp_path / "mat.csv", [register_row(0), register_row(3, sex="M"), register_row(4)])
+    por = write_csv(tmp_path / "por.csv", [register_row(0, higher="no"), register_row(3, sex="M", age=22),
+                                           register_row(4), register_row(4, traveltime=4)])
+    report = P.load_register(spark, {"MAT": mat, "POR": por})
+    assert [(r["asignatura"], r["filas"]) for r in report.repeated_keys.collect()] == [("POR", 2)]
+    assert [(r["atributo_distinto"], r["valor_a"], r["valor_b"]) for r in report.near_misses.collect()] == [
+        ("age", str(register_row(3)["age"]), "22")]
+    assert {r["atributo"]: r["conflictos"] for r in report.conflicts.collect() if r["conflictos"]} == {
+        "higher": 1}
+
+
+def test_fan_out_aborts(built):
+    _, tables, behaviour = built
+    twice = replace(tables, calificacion=tables.calificacion.where("estudiante_id <> 2"))
+    with pytest.raises(ValueError, match="enrolments"):
+        P.analytic_dataset(twice, behaviour)
+
+
 def test_no_leakage():
     assert all(not leaked(s) for s in SCENARIOS.values())
     assert "faltas" not in SCENARIOS["A_corte_P1"].numeric

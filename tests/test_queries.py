@@ -14,7 +14,8 @@ SF = "/root/testdata/sf0.001"
 NAMES = ["lms_activity", "rule_ledger", "clean_sessions", "alert_followed_by_session",
          "build_followup_docs", "validate_followup_docs", "grade_stats", "fail_rate_by_school",
          "p1_p3_transition", "wide_enrolment", "integrity_report", "scan_typed_csv",
-         "lineage_columns", "scan_jsonl", "text_confusion", "identity_near_miss", "outlier_fence",
+         "lineage_columns", "scan_jsonl", "text_confusion", "identity_near_miss", "identity_totals",
+         "identity_accepted", "identity_resolution", "outlier_fence",
          "mann_whitney", "auc_roc_pr", "calibration_bins", "repair_alert_docs", "alert_docs_quarantine",
          "doc_lms_activity", "doc_notes_category_level"]
 
