@@ -6,6 +6,7 @@ from campuslens.plans import (  # noqa: F401
     document_queries,
     identity_queries,
     model_queries,
+    reconciliation_queries,
     register_queries,
     source_queries,
     text_queries,

@@ -85,25 +85,6 @@ def quarantine_by_rule(spark, sf):
     return C.quarantine_by_rule(both)
 
 
-@query("rule_reconciliation", B.sql("""
-    SELECT regla, inyectados, afectados, inyectados = afectados AS iguales FROM (
-      SELECT 'R-15' AS regla, CAST(sum(c) FILTER (WHERE k = 0) AS BIGINT) AS inyectados,
-        (SELECT count(*) FROM eventos WHERE fecha IS NULL) AS afectados FROM copias
-      UNION ALL SELECT 'R-16', CAST(sum(c - 1) FILTER (WHERE k <> 0) AS BIGINT),
-        (SELECT CAST(sum(copias - 1) AS BIGINT) FROM primeros) FROM copias)""",
-    "eventos", "primeros", "copias"))
-def rule_reconciliation(spark, sf):
-    k = F.get_json_object("props", "$.k").cast("int")
-    copies = F.when(F.col("value") >= 200, 2).otherwise(1)
-    planted = B.table(spark, sf, "events").agg(
-        F.sum(F.when(k == 0, copies)).alias("R-15"), F.sum(F.when(k != 0, copies - 1)).alias("R-16"))
-    injected = planted.select(F.explode(F.array(*[
-        F.struct(F.lit(r).alias("regla"), F.col(f"`{r}`").alias("inyectados"))
-        for r in ("R-15", "R-16")])).alias("x")).select("x.*")
-    found = cleaned(spark, sf).ledger().where(F.col("regla").isin("R-15", "R-16"))
-    return C.reconcile(found, injected)
-
-
 @query("standardise_type", B.sql("""
     SELECT tipo, CASE lower(trim(tipo)) WHEN 'quiz' THEN 'cuestionario' WHEN 'resource' THEN 'recurso'
       ELSE lower(trim(tipo)) END AS estandar, count(*) AS n FROM eventos GROUP BY ALL""", "eventos"))

@@ -329,9 +329,6 @@ CTES: dict[str, tuple[list[str], str]] = {
           CASE WHEN e.event_type = 'click' THEN {_K} % 2 = 0 END AS revisada,
           e.event_id * 2 + c.c AS orden_llegada
         FROM events e CROSS JOIN (VALUES (0), (1)) c(c) WHERE c.c = 0 OR e.value >= 200"""),
-    "copias": ([], """
-        SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-          CASE WHEN value >= 200 THEN 2 ELSE 1 END AS c FROM events"""),
     "inscritos": ([], """
         SELECT DISTINCT o_custkey AS estudiante_id, o_orderstatus AS asignatura FROM orders"""),
     "primeros": (["eventos"], """

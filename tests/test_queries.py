@@ -11,7 +11,7 @@ import __spark_entry__ as entry  # noqa: E402
 from check_queries import compare  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-NAMES = ["lms_activity", "rule_ledger", "clean_sessions", "alert_followed_by_session",
+NAMES = ["lms_activity", "rule_ledger", "rule_reconciliation", "clean_sessions", "alert_followed_by_session",
          "build_followup_docs", "validate_followup_docs", "grade_stats", "fail_rate_by_school",
          "p1_p3_transition", "wide_enrolment", "integrity_report", "scan_typed_csv",
          "lineage_columns", "scan_jsonl", "text_confusion", "identity_near_miss", "identity_totals",
