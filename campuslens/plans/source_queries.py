@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from campuslens.operators import checks as K
+from campuslens.operators import documents as D
+from campuslens.operators.relational import wide_enrolment
 from campuslens.plans import testbed as B
+from campuslens.plans.document_queries import followup_docs
 from campuslens.plans.registry import query
 from campuslens.session import scratch_dir
 from campuslens.sources import json as J
@@ -116,3 +119,27 @@ def build_3nf(spark, sf):
         return keys.withColumn("esperado", F.lit(0).cast("bigint"))
     S.publish(spark, B.tables(spark, sf), root, gate)
     return K.table_counts(S.published(spark, root))
+
+
+@query("csv_round_trip", B.sql("SELECT * FROM ancha", "ancha"))
+def csv_round_trip(spark, sf):
+    """The wide view through the CSV sink and back under its schema."""
+    wide = wide_enrolment(B.tables(spark, sf))
+    path = fresh(spark, "csv-salida")
+    S.write_csv(wide, path)
+    return S.read_csv(spark, path, wide.schema)
+
+
+@query("json_round_trip", B.sql("""
+    SELECT estudiante_id, count(*) AS eventos, CAST(sum(coalesce(duracion_min, 0)) AS BIGINT) AS minutos, max(fecha) AS ultimo,
+      count(revisada) AS con_revisada FROM limpios JOIN customer ON c_custkey = estudiante_id GROUP BY ALL""", "limpios"))
+def json_round_trip(spark, sf):
+    """Nested follow-up documents through the JSON sink and back, all their events counted."""
+    docs = followup_docs(spark, sf)
+    path = fresh(spark, "json-salida")
+    S.write_json(docs, path)
+    events = D.unwind(S.read_json(spark, path, docs.schema), "interacciones_lms", D.DOCUMENT)
+    return events.groupBy("estudiante_id").agg(
+        F.count(F.lit(1)).alias("eventos"),
+        F.sum(F.coalesce("duracion_min", F.lit(0)).cast("bigint")).alias("minutos"),
+        F.max("fecha").alias("ultimo"), F.count("revisada").alias("con_revisada"))
