@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from campuslens.functions.stats import wilson
 from campuslens.operators import bootstrap as S
+from campuslens.operators import capacity as Z
 from campuslens.operators import checks as K
 from campuslens.operators import dataset as A
 from campuslens.operators import documents as D
@@ -18,7 +19,7 @@ from campuslens.operators import relational as R
 from campuslens.operators import running as U
 from campuslens.operators.split import grouped_folds
 from campuslens.plans import testbed as B
-from campuslens.plans.document_queries import cleaned
+from campuslens.plans.document_queries import cleaned, cleaned_sessions
 from campuslens.plans.registry import query
 from campuslens.session import materialise
 
@@ -415,33 +416,78 @@ def grouped_split(spark, sf):
     return grouped_folds(rows, "estudiante_id", "en_riesgo")
 
 
+SCENARIOS_OF_SIZE = {"actual": None, "red de 100 centros": 1_000_000, "red nacional": 10_000_000,
+                     "red nacional con clickstream": 200_000_000}
+NODE_MEMORY = 8e9
+
+
+def capacity_base(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The clean log as a stage table, and one row with its rows, bytes and enrolments."""
+    events = materialise(cleaned(spark, sf).clean, "limpios")
+    size = B.enrolment_keys(spark, sf).agg(F.count(F.lit(1)).alias("m"))
+    return events, events.agg(F.count(F.lit(1)).alias("n"), F.sum(Z.row_bytes(events)).alias("b")) \
+        .withColumn("m", size.scalar())
+
+
 @query("capacity_projection", B.sql("""
     SELECT escenario, round(base.n::DOUBLE / m.n * f, 4) AS eventos_anuales,
-      round(base.n::DOUBLE / m.n * f * base.b / base.n / 1e9, 6) AS memoria_gb,
-      round(base.n::DOUBLE / m.n * f / 8900000.0, 6) AS segundos,
-      base.n::DOUBLE / m.n * f < 8e9 / (3 * base.b::DOUBLE / base.n) AS cabe_en_8gb
-    FROM (SELECT count(*) AS n, sum(19 + length(evento_id)) AS b FROM limpios) base,
+      round(base.n::DOUBLE / m.n * f * (base.b::DOUBLE / base.n) / 1e9, 6) AS memoria_gb,
+      base.n::DOUBLE / m.n * f < 8e9 / (3 * (base.b::DOUBLE / base.n)) AS cabe_en_8gb
+    FROM (SELECT count(*) AS n, sum(8 + 8 + 4 + 1 + strlen(evento_id) + strlen(asignatura) + strlen(tipo) + strlen(periodo)) AS b
+        FROM limpios) base,
       (SELECT count(*) AS n FROM inscritos) m,
       (VALUES ('actual', NULL), ('red de 100 centros', 1000000), ('red nacional', 10000000),
         ('red nacional con clickstream', 200000000)) v(escenario, f0), LATERAL (SELECT coalesce(f0, m.n) AS f)""",
     "limpios", "inscritos"))
 def capacity_projection(spark, sf):
-    """Events per enrolment and bytes per event measured on the log, carried to larger systems
-    at the published single-node rate of 8.9 million rows per second."""
-    events = cleaned(spark, sf).clean
-    base = events.agg(F.count(F.lit(1)).alias("n"),
-                      F.sum(19 + F.length("evento_id")).alias("b"))
-    size = B.enrolment_keys(spark, sf).agg(F.count(F.lit(1)).alias("m"))
-    scenarios = F.array(*[F.struct(F.lit(n).alias("escenario"), F.lit(m).cast("bigint").alias("f"))
-                          for n, m in (("actual", None), ("red de 100 centros", 1_000_000),
-                                       ("red nacional", 10_000_000),
-                                       ("red nacional con clickstream", 200_000_000))])
-    rows = base.withColumn("m", size.scalar()).select("n", "b", "m", F.explode(scenarios).alias("x")) \
-        .select("n", "b", "m", "x.*").withColumn("f", F.coalesce("f", "m"))
-    annual = F.col("n").cast("double") / F.col("m") * F.col("f")
-    per_row = F.col("b").cast("double") / F.col("n")
-    return rows.select(
-        "escenario", F.round(annual, 4).alias("eventos_anuales"),
-        F.round(annual * F.col("b") / F.col("n") / 1e9, 6).alias("memoria_gb"),
-        F.round(annual / 8_900_000.0, 6).alias("segundos"),
-        (annual < 8e9 / (3 * per_row)).alias("cabe_en_8gb"))
+    """Events per enrolment and bytes per event of the clean log, carried to larger systems."""
+    return Z.project(capacity_base(spark, sf)[1], SCENARIOS_OF_SIZE, NODE_MEMORY)
+
+
+@query("capacity_measured")
+def capacity_measured(spark, sf):
+    """The projection with the time of AG-01 at the rate that this session reaches on the log."""
+    events, base = capacity_base(spark, sf)
+    m = Z.measure(events, lambda e: D.lms_activity(e, periods=B.ACTIVITY_PERIODS))
+    cost = F.lit(m.seconds / m.rows if m.rows else None).cast("double")
+    return Z.project(base, SCENARIOS_OF_SIZE, NODE_MEMORY).select(
+        "*", F.lit(m.rows).alias("filas"), F.lit(m.bytes).alias("bytes"),
+        F.lit(m.bytes_per_row).cast("double").alias("bytes_por_fila"),
+        F.lit(m.rows_per_second).alias("filas_por_s"),
+        (F.col("eventos_anuales") * cost).alias("segundos"))
+
+
+@query("stage_counts", B.sql("""
+    SELECT etapa, entrada, duplicados, rechazados, salida, entrada = duplicados + rechazados + salida AS cuadra FROM (
+      SELECT 'eventos' AS etapa, (SELECT count(*) FROM eventos) AS entrada,
+        (SELECT CAST(sum(copias - 1) AS BIGINT) FROM primeros) AS duplicados,
+        (SELECT count(*) FROM eventos WHERE fecha IS NULL) + (SELECT count(*) FROM juzgados WHERE regla IS NOT NULL) AS rechazados,
+        (SELECT count(*) FROM limpios) AS salida
+      UNION ALL SELECT 'tutorias', count(*), 0, count(*) FILTER (WHERE i.estudiante_id IS NULL OR """
+    + B.period_case("fecha", B.SESSION_PERIODS) + """ IS NULL),
+        count(*) FILTER (WHERE i.estudiante_id IS NOT NULL AND """ + B.period_case("fecha", B.SESSION_PERIODS)
+    + """ IS NOT NULL) FROM tutorias_crudas LEFT JOIN inscritos i USING (estudiante_id, asignatura)
+      UNION ALL SELECT 'integracion', (SELECT count(*) FROM matricula), 0, 0, (SELECT count(*) FROM datos))""",
+    "eventos", "primeros", "juzgados", "limpios", "tutorias_crudas", "inscritos", "matricula", "datos"))
+def stage_counts(spark, sf):
+    """Rows into, dropped as copies, rejected and out of each stage, counted apart: they must add up."""
+    log, talks = cleaned(spark, sf), cleaned_sessions(spark, sf)
+
+    def count(df, column, amount=F.lit(1)):
+        return df.agg(F.coalesce(F.sum(amount.cast("bigint")), F.lit(0)).alias(column))
+
+    nothing = spark.range(1).select(F.lit(0).cast("bigint").alias("n"))
+    stages = {
+        "eventos": (B.events_raw(spark, sf), count(log.judged, "n", F.col("_copias") - 1),
+                    log.quarantine, log.clean),
+        "tutorias": (B.sessions_raw(spark, sf), nothing, talks.quarantine, talks.clean),
+        "integracion": (B.matricula(spark, sf), nothing, None, dataset(spark, sf))}
+    rows = []
+    for name, (came, copies, bad, good) in stages.items():
+        rows.append(spark.range(1).select(
+            F.lit(name).alias("etapa"), count(came, "n").scalar().alias("entrada"),
+            copies.scalar().alias("duplicados"),
+            (nothing if bad is None else count(bad, "n")).scalar().alias("rechazados"),
+            count(good, "n").scalar().alias("salida")))
+    return reduce(DataFrame.unionByName, rows).withColumn(
+        "cuadra", F.col("entrada") == F.col("duplicados") + F.col("rechazados") + F.col("salida"))

@@ -16,7 +16,8 @@ NAMES = ["lms_activity", "rule_ledger", "rule_reconciliation", "clean_sessions",
          "p1_p3_transition", "wide_enrolment", "integrity_report", "scan_typed_csv",
          "lineage_columns", "scan_jsonl", "text_confusion", "identity_near_miss", "identity_totals",
          "identity_accepted", "identity_resolution", "outlier_fence",
-         "mann_whitney", "auc_roc_pr", "calibration_bins", "repair_alert_docs", "alert_docs_quarantine",
+         "mann_whitney", "capacity_projection", "stage_counts", "csv_round_trip",
+         "json_round_trip", "auc_roc_pr", "calibration_bins", "repair_alert_docs", "alert_docs_quarantine",
          "doc_lms_activity", "doc_notes_category_level"]
 
 
