@@ -152,11 +152,11 @@ def find_cuts(rows: DataFrame, total: int, bins: int = BINS) -> Bins:
     return Bins(cuts)
 
 
-class Boosted:
-    """Trees with their start score; ``transform`` adds the column ``probability``."""
-
-    def __init__(self, start: float, rate: float, penalty: float, trees: list[list[Node]]):
-        self.start, self.rate, self.penalty, self.trees = start, rate, penalty, trees
+@dataclass
+class Shrinkage:
+    """Leaf values: -rate * sum(g) / (sum(h) + penalty)."""
+    rate: float
+    penalty: float
 
     def leaves(self, tree: list[Node]) -> np.ndarray:
         return np.array([-self.rate * t.g / (t.h + self.penalty) for t in tree])
@@ -166,24 +166,30 @@ class Boosted:
             score = score + self.leaves(tree)[places(tree, entries)]
         return score
 
+
+class Boosted:
+    """Trees with their start score; ``transform`` adds the column ``probability``."""
+
+    def __init__(self, start: float, shrink: Shrinkage):
+        self.start, self.shrink, self.trees = start, shrink, []
+
     def transform(self, df: DataFrame) -> DataFrame:
-        model = self
+        start, shrink, trees = self.start, self.shrink, self.trees
 
         @F.pandas_udf("double")
         def probability(k: pd.Series, x: pd.Series) -> pd.Series:
             entries = Entries(k, x)
-            score = model.add(np.full(entries.rows, model.start), entries, model.trees)
-            return pd.Series(1 / (1 + np.exp(-score)))
+            return pd.Series(1 / (1 + np.exp(-shrink.add(np.full(entries.rows, start), entries, trees))))
         p = probability(*stored("features"))
         return df.withColumn("_p", p).withColumn(
             "probability", array_to_vector(F.array(1 - F.col("_p"), F.col("_p")))).drop("_p")
 
 
 class SecondOrderBoosting:
-    """Grows ``trees`` trees of ``depth`` levels; leaves are -rate * sum(g) / (sum(h) + penalty)."""
+    """Grows ``trees`` trees of ``depth`` levels."""
 
     def __init__(self, label: str, rate: float = 0.05, trees: int = 200, depth: int = 3, penalty: float = 1.0):
-        self.label, self.rate, self.trees, self.depth, self.penalty = label, rate, trees, depth, penalty
+        self.label, self.trees, self.depth, self.shrink = label, trees, depth, Shrinkage(rate, penalty)
 
     def fit(self, data: DataFrame) -> Boosted:
         k, x = stored("features")
@@ -193,25 +199,29 @@ class SecondOrderBoosting:
         if not total or share in (0.0, 1.0):
             raise ValueError("boosting needs rows of both labels")
         bins = find_cuts(rows, total)
-        model = Boosted(float(np.log(share / (1 - share))), self.rate, self.penalty, [])
-        rows, written = self._scored(rows.withColumn("_s", F.lit(model.start)), model, []), 0
+        model = Boosted(float(np.log(share / (1 - share))), self.shrink)
+        rows, written = self._scored(rows.withColumn("_s", F.lit(model.start)), []), 0
         for _ in range(self.trees):
             if len(model.trees) - written == STAGE:
-                rows, written = self._scored(rows, model, model.trees[written:]), len(model.trees)
-            model.trees.append(self._grow(rows, model, model.trees[written:], bins))
+                rows, written = self._scored(rows, model.trees[written:]), len(model.trees)
+            model.trees.append(self._grow(rows, model.trees[written:], bins))
         return model
 
-    def _scored(self, rows: DataFrame, model: Boosted, trees: list[list[Node]]) -> DataFrame:
+    def _scored(self, rows: DataFrame, trees: list[list[Node]]) -> DataFrame:
+        shrink = self.shrink
+
         def run(batches):
             for b in batches:
-                yield b.assign(_s=model.add(b["_s"].to_numpy(), Entries(b["_k"], b["_x"]), trees))
-        return materialise(rows.mapInPandas(run, rows.schema) if trees else rows, "puntajes")
+                yield b.assign(_s=shrink.add(b["_s"].to_numpy(), Entries(b["_k"], b["_x"]), trees))
+        saved = materialise(rows.mapInPandas(run, rows.schema) if trees else rows, "puntajes")
+        # one task needs no exchange to add its sums up
+        return saved.coalesce(1) if saved.rdd.getNumPartitions() == 1 else saved
 
-    def _grow(self, rows: DataFrame, model: Boosted, newer: list[list[Node]], bins: Bins) -> list[Node]:
+    def _grow(self, rows: DataFrame, newer: list[list[Node]], bins: Bins) -> list[Node]:
         tree = [Node(0.0, 0.0, 0)]
         level = [0]
         for _ in range(self.depth):
-            sums = self._sums(rows, model, newer, tree, level, bins)
+            sums = self._sums(rows, newer, tree, level, bins)
             cells = int(bins.starts[-1])
             following = []
             for i, node in enumerate(level):
@@ -221,7 +231,7 @@ class SecondOrderBoosting:
                     tree[0] = Node(float(whole["g"]), float(whole["h"]), int(whole["n"]))
                 own = own[own["cell"] >= 0]
                 per_cell = [np.bincount(own["cell"], own[c], cells) for c in "ghn"]
-                split = best_split(tree[node], *per_cell, bins, self.penalty)
+                split = best_split(tree[node], *per_cell, bins, self.shrink.penalty)
                 if split is not None:
                     t = tree[node]
                     t.column, t.cut, g, h, n = split
@@ -233,18 +243,19 @@ class SecondOrderBoosting:
                 break
         return tree
 
-    def _sums(self, rows: DataFrame, model: Boosted, newer: list[list[Node]], tree: list[Node],
-              level: list[int], bins: Bins) -> pd.DataFrame:
+    def _sums(self, rows: DataFrame, newer: list[list[Node]], tree: list[Node], level: list[int],
+              bins: Bins) -> pd.DataFrame:
         """Sums per (place in ``level``, cell) over all rows; cell -1 is the node's total."""
         cells = int(bins.starts[-1])
         slot = np.full(len(tree), -1)
         slot[level] = np.arange(len(level))
+        shrink = self.shrink
 
         def run(batches):
             held = np.zeros((3, len(level) * (cells + 1)))
             for b in batches:
                 entries = Entries(b["_k"], b["_x"])
-                p = 1 / (1 + np.exp(-model.add(b["_s"].to_numpy(), entries, newer)))
+                p = 1 / (1 + np.exp(-shrink.add(b["_s"].to_numpy(), entries, newer)))
                 at = slot[places(tree, entries)]
                 weights = (p - b["_y"].to_numpy(), p * (1 - p), np.ones(len(p)))
                 row, cell = bins.cells(entries)

@@ -8,12 +8,12 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from campuslens.operators.boosting import SecondOrderBoosting
 from campuslens.operators.bootstrap import weighted_auc
 from campuslens.operators.features import Encoder, Scenario
 from campuslens.operators.metrics import (auc_roc_pr, classification_metrics,
@@ -46,7 +46,7 @@ def forest(rows: int):
 
 
 def boosting(rows: int):
-    return GBTClassifier(labelCol=LABEL, stepSize=0.05, maxIter=200, maxDepth=3, seed=SEED)
+    return SecondOrderBoosting(LABEL, rate=0.05, trees=200, depth=3, penalty=1.0)
 
 
 MODELS: dict[str, Callable] = {LOGISTIC: logistic, FOREST: forest, BOOSTING: boosting}

@@ -45,7 +45,7 @@ def test_leaf_of_one_split_by_hand(spark):
     root, left, right = model.trees[0]
     assert (root.column, root.cut, left.n, right.n) == (0, 0.5, 20, 20)
     # p = 1/2 everywhere: gradients 15 * 0.5 - 5 * 0.5 = 5, second derivatives 20 / 4 = 5
-    assert np.allclose(model.leaves(model.trees[0])[1:], [-0.05 * 5 / 6, 0.05 * 5 / 6])
+    assert np.allclose(model.shrink.leaves(model.trees[0])[1:], [-0.05 * 5 / 6, 0.05 * 5 / 6])
 
 
 @pytest.mark.parametrize("parts", [1, 3])
