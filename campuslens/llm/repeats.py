@@ -210,7 +210,8 @@ def maximal_repeats(keys: np.ndarray, lengths: np.ndarray, groups: np.ndarray, b
     The suffix array is sorted once; a stack holds the open intervals of its common-prefix tree,
     and an interval is reported when the bytes to the left of its suffixes are not all one."""
     words = keys.view(">u8").astype(np.uint64)
-    order = np.lexsort((*words.T[::-1], groups))
+    # a zero byte of the text sorts like the padding: the shorter one comes first
+    order = np.lexsort((lengths, *words.T[::-1], groups))
     a, b = order[:-1], order[1:]
     common = np.zeros(len(order) + 1, np.int64)
     step = 1 << 16
@@ -294,10 +295,13 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.add.at(edge, a.last[gone], -1)
         parts = sorted(row["second"] or [], key=lambda x: x["range"])
         reach = np.frombuffer(b"".join(p["packet"] for p in parts), np.uint8).reshape(-1, 2)
-        some = reach[:, 1] > 0
-        heads = a.heads[codes == 2][some]
-        np.add.at(edge, a.at[heads] - reach[some, 0], 1)
-        np.add.at(edge, a.at[heads] + reach[some, 1], -1)
+        # a class is sent once, for all its anchors in rows of its smallest id
+        of_class = np.zeros((len(a.heads), 2), np.int64)
+        of_class[codes == 2] = reach
+        before, after = of_class[a.klass].T
+        some = (after > 0) & ~gone
+        np.add.at(edge, a.at[some] - before[some], 1)
+        np.add.at(edge, a.at[some] + after[some], -1)
         removed = np.cumsum(edge[:-1]) > 0
         rise = removed.copy()
         rise[1:] &= ~removed[:-1]

@@ -59,3 +59,19 @@ def test_table(docs_frame, small_docs):
 def test_empty(docs_frame):
     assert run(docs_frame([])) == []
     assert run(docs_frame([(1, None)])) == brute([(1, None)])
+
+
+def test_equal_contexts_in_rows_of_one_id(docs_frame):
+    """A passage that a smaller document holds in part stands twice in a text and in two rows of one id."""
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    passage, other = text(200), text(150)
+    rows = [(1, text(30) + passage[70:130] + text(30)), (2, passage + text(20) + passage),
+            (3, other), (3, other), (0, other[40:100]), (None, other[45:110] + "z"), (None, other[45:110] + "z")]
+    assert run(docs_frame(rows).coalesce(1), ranges=1) == brute(rows)
+
+
+def test_zero_bytes(docs_frame):
+    rows = [(i, "start of a passage " + "\0" * n) for i, n in enumerate((33, 60, 40, 52, 31, 45))]
+    rows += [(10 + i, "\0" * n + "ab" + "\0" * (70 - n)) for i, n in enumerate((0, 5, 12, 30, 55, 68))]
+    assert run(docs_frame(rows).coalesce(1), ranges=2) == brute(rows)
