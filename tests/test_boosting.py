@@ -75,3 +75,21 @@ def test_many_values_and_one_label(spark):
     assert all(abs(t[0].cut - 0.3) < 0.05 for t in model.trees)
     with pytest.raises(ValueError, match="both labels"):
         G.SecondOrderBoosting("y").fit(df.where("y = 1"))
+
+
+def test_rows_are_bound_in_blocks_once(spark, monkeypatch):
+    """No pass over the rows of a tree unpacks single rows: they are read for the blocks alone."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(-2, 3, (120, 3)).astype(float)
+    y = (x[:, 0] + x[:, 1] > 0).astype(float)
+    bins = G.Bins({0: np.array([-1.5, -0.5, 0.5, 1.5]), 1: np.array([0.5]), 2: np.array([-0.5])})
+    raw = frame(spark, x, y, 2)
+    k, v = G.stored("features")
+    rows = raw.select(k.alias("_k"), v.alias("_x"), raw["y"].alias("_y"))
+    got = [G.Block(r.asDict(), bins) for r in G.block_rows(rows, bins, 0.25).collect()]
+    assert sum(b.rows for b in got) == 120 and all((b.score == 0.25).all() for b in got)
+    for column, cuts in bins.cuts.items():
+        for cut in cuts:
+            node = G.Node(0.0, 0.0, 0, column, float(cut))
+            assert sum(int(b.below(node).sum()) for b in got) == (x[:, column] <= cut).sum()
+            assert sum(int(b.label[b.below(node)].sum()) for b in got) == y[x[:, column] <= cut].sum()
