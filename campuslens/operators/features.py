@@ -43,6 +43,16 @@ SCENARIOS = {s.name: s for s in (
     _A.plus("A_mas_sim", *ACTIVITY_P1), _A.plus("A_mas_faltas", "faltas"),
     _C.plus("C_mas_sim", *ACTIVITY_P1))}
 
+#: Vector of the encoded categories in prepared rows.
+CATEGORIES = "_categorias"
+
+
+def union(scenarios: list[Scenario]) -> Scenario:
+    """All predictors of several scenarios."""
+    return Scenario("+".join(s.name for s in scenarios), tuple(dict.fromkeys(c for s in scenarios for c in s.numeric)),
+                    tuple(dict.fromkeys(c for s in scenarios for c in s.flags)))
+
+
 LEAKS = ["nota_p3", "no_evaluado_p3"]
 
 
@@ -72,11 +82,10 @@ class Encoder:
             if len(levels[c]) == 2:
                 stages.append(VectorSlicer(inputCol=f"_hot_{c}", outputCol=f"_one_{c}", indices=[1]))
             encoded.append(f"_one_{c}" if len(levels[c]) == 2 else f"_hot_{c}")
+        stages.append(VectorAssembler(inputCols=encoded, outputCol=CATEGORIES))
         scaled = list(scenario.numeric) + list(scenario.flags)
         row = train.agg(*[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in scaled],
                         *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in scaled]).first()
-        stages.append(VectorAssembler(inputCols=[*encoded, *[f"_scaled_{c}" for c in scaled]],
-                                      outputCol="features"))
         return Encoder(stages, levels, {c: (row[f"m_{c}"], row[f"s_{c}"] or 1.0) for c in scaled})
 
     def names(self) -> list[str]:
@@ -84,10 +93,23 @@ class Encoder:
         return [f"{c}={v}" for c, levels in self.levels.items()
                 for v in (levels[1:] if len(levels) == 2 else levels)] + list(self.moments)
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """``df`` with the vector ``features``."""
+    def prepare(self, df: DataFrame) -> DataFrame:
+        """``df`` with its encoded categories and standardised numbers, from which the vectors of all
+        scenarios of these columns are put together."""
         out = df.withColumns({f"_scaled_{c}": (F.col(c).cast("double") - mean) / sd
                               for c, (mean, sd) in self.moments.items()})
         for stage in self.stages:
             out = stage.transform(out)
-        return out.select(*df.columns, "features")
+        return out.select(*df.columns, *self.parts(self.moments))
+
+    @staticmethod
+    def parts(scaled) -> list[str]:
+        return [CATEGORIES, *[f"_scaled_{c}" for c in scaled]]
+
+    def assemble(self, prepared: DataFrame, scaled) -> DataFrame:
+        """Prepared rows with the vector ``features`` of the categories and the named columns."""
+        return VectorAssembler(inputCols=self.parts(scaled), outputCol="features").transform(prepared)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with the vector ``features``."""
+        return self.assemble(self.prepare(df), self.moments).select(*df.columns, "features")

@@ -52,3 +52,19 @@ def test_importance_finds_the_column_that_matters(spark):
 
     got = {r["variable"]: r for r in L.permutation_importance(Model(), rows, ["u", "w"], repeats=5).collect()}
     assert 0.4 < got["u"]["importancia"] < 0.55 and got["w"]["importancia"] == 0
+
+
+def test_rows_are_encoded_once_for_all_scenarios(spark, monkeypatch):
+    n = 400
+    rows = spark.range(n).select(
+        F.col("id").alias("estudiante_id"), F.lit("M").alias("asignatura"), (F.col("id") % 5 + 1).cast("int").alias("pliegue"),
+        (F.col("id") % 3).cast("string").alias("c"), F.rand(1).alias("u"), F.rand(2).alias("w"))
+    rows = rows.withColumn("en_riesgo", (F.col("u") + F.rand(3) > 1).cast("int")).localCheckpoint()
+    scenarios = [Scenario("a", ("u",), ()), Scenario("b", ("w", "u"), ())]
+    fits, fit = [], Encoder.fit
+    monkeypatch.setattr(Encoder, "fit", staticmethod(lambda train, s: fits.append(s.name) or fit(train, s, ["c"])))
+    got = {r["escenario"]: r for r in L.evaluate_all(rows, rows, scenarios, L.LOGISTIC).collect()}
+    assert len(fits) == 6  # five folds and the test, not once more per scenario
+    for s in scenarios:
+        alone = L.evaluate(rows, rows, s, L.LOGISTIC).first()
+        assert all(abs(alone[c] - got[s.name][c]) < 1e-9 for c in ("auc_roc", "cv_auc_roc", "umbral", "brier"))
