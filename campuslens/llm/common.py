@@ -128,6 +128,11 @@ class RollingHash:
     def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix64((self.sums[ends] - self.sums[starts]) * self.down[starts])
 
+    def windows(self, width: int) -> np.ndarray:
+        """``spans`` of all stretches of ``width`` values, in order."""
+        n = max(0, len(self.sums) - width)
+        return mix64((self.sums[width:] - self.sums[:n]) * self.down[:n])
+
 
 #: One random-looking 64-bit value per byte.
 BYTE_VALUES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))

@@ -110,9 +110,8 @@ class Anchors:
         n = max(0, len(self.data) - gram + 1)
         doc = np.repeat(np.arange(len(self.ids)), np.diff(offsets))
         rolling = RollingHash(BYTE_VALUES[self.data])
-        starts = np.arange(n)
-        hashes = rolling.spans(starts, starts + gram) & _SENT | np.uint64(1 << 16)
-        whole = offsets[1:][doc[:n]] - starts >= span
+        hashes = rolling.windows(gram) & _SENT | np.uint64(1 << 16)
+        whole = offsets[1:][doc[:n]] - np.arange(n) >= span
         at = np.flatnonzero(window_minima(hashes, span - gram + 1, whole))
         doc = doc[at]
         first = np.maximum(offsets[:-1][doc], at - (span - gram))
@@ -201,6 +200,38 @@ def _second_requests(ranges: int):
     return run
 
 
+def sorted_suffixes(keys: np.ndarray, lengths: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of suffixes by group, bytes and length, and the common prefix of each with the one before
+    it (0 at both ends and across groups).
+
+    Eight bytes at a time are looked at, and only of suffixes that are equal so far to another; where two
+    neighbours part, their common prefix is known."""
+    n, words = len(keys), keys.view(">u8")
+    order = np.argsort(groups, kind="stable")
+    group = groups[order]
+    first = np.ones(n + 1, bool)  # starts of runs of suffixes that are equal so far
+    first[1:n] = group[1:] != group[:-1]
+    inside = ~first
+    common = np.zeros(n + 1, np.int64)
+    common[inside] = keys.shape[1]
+    # a zero byte of the text sorts like the padding: the shorter one comes first
+    for k, column in enumerate([*words.T, lengths]):
+        rows = np.flatnonzero(~(first[:-1] & first[1:]))
+        run = np.cumsum(first[:-1])[rows]
+        value = column[order[rows]].astype(np.uint64)
+        by = np.lexsort((value, run))
+        order[rows], value = order[rows][by], value[by]
+        if k < words.shape[1]:
+            parts = np.flatnonzero((value[1:] != value[:-1]) & ~first[rows[1:]]) + 1
+            differ = value[parts] ^ value[parts - 1]
+            first[rows[parts]] = True
+            common[rows[parts]] = 8 * k + sum(
+                (differ < np.uint64(1 << (64 - 8 * b))).astype(np.int64) for b in range(1, 8))
+    own = lengths[order]
+    common[1:n] = np.minimum(common[1:n], np.minimum(own[1:], own[:-1]))
+    return order, common
+
+
 def maximal_repeats(keys: np.ndarray, lengths: np.ndarray, groups: np.ndarray, before: np.ndarray,
                     least: int) -> Iterator[tuple[int, np.ndarray]]:
     """(length, suffixes) of all maximal repeats of at least ``least`` bytes among suffixes.
@@ -209,18 +240,7 @@ def maximal_repeats(keys: np.ndarray, lengths: np.ndarray, groups: np.ndarray, b
     lengths, ``groups`` what must be equal besides, ``before`` the byte to the left (-1: none).
     The suffix array is sorted once; a stack holds the open intervals of its common-prefix tree,
     and an interval is reported when the bytes to the left of its suffixes are not all one."""
-    words = keys.view(">u8").astype(np.uint64)
-    # a zero byte of the text sorts like the padding: the shorter one comes first
-    order = np.lexsort((lengths, *words.T[::-1], groups))
-    a, b = order[:-1], order[1:]
-    common = np.zeros(len(order) + 1, np.int64)
-    step = 1 << 16
-    for at in range(0, len(a), step):
-        x, y = a[at:at + step], b[at:at + step]
-        same = keys[x] == keys[y]
-        prefix = np.where(same.all(1), keys.shape[1], same.argmin(1))
-        common[at + 1:at + 1 + len(x)] = np.where(
-            groups[x] == groups[y], np.minimum(prefix, np.minimum(lengths[x], lengths[y])), 0)
+    order, common = sorted_suffixes(keys, lengths, groups)
     left = before[order]
     # changes of the byte to the left, counted along the suffix array
     change = np.zeros(len(order) + 1, np.int64)
@@ -269,8 +289,11 @@ def _second_answers(span: int = SPAN):
         width = -(-(2 * span - GRAM) // 8) * 8
         at = begin[owner] + place
         length = size[owner] - place
-        keys = np.lib.stride_tricks.sliding_window_view(text, width)[at]
-        keys[np.arange(width) >= length[:, None]] = 0
+        keys, windows = np.empty((len(at), width), np.uint8), np.lib.stride_tricks.sliding_window_view(text, width)
+        for b in range(0, len(at), 1 << 16):
+            e = b + (1 << 16)
+            keys[b:e] = windows[at[b:e]]
+            keys[b:e][np.arange(width) >= length[b:e, None]] = 0
         before = np.where(place > 0, text[np.maximum(at - 1, 0)].astype(np.int64), -1)
         for repeat, suffixes in maximal_repeats(keys, length, gram[owner], before, span):
             who = owner[suffixes]

@@ -1,6 +1,8 @@
 import hashlib
+import os
 import random
 
+import numpy as np
 import pytest
 
 from campuslens.llm import repeats as R
@@ -75,3 +77,20 @@ def test_zero_bytes(docs_frame):
     rows = [(i, "start of a passage " + "\0" * n) for i, n in enumerate((33, 60, 40, 52, 31, 45))]
     rows += [(10 + i, "\0" * n + "ab" + "\0" * (70 - n)) for i, n in enumerate((0, 5, 12, 30, 55, 68))]
     assert run(docs_frame(rows).coalesce(1), ranges=2) == brute(rows)
+
+
+def test_suffixes_are_sorted_by_the_bytes_that_still_tie():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 40, 200):
+        lengths = rng.integers(5, 17, n)
+        keys = rng.integers(0, 2, (n, 16)).astype(np.uint8)
+        keys[n // 2:] = keys[:n - n // 2]
+        keys[np.arange(16) >= lengths[:, None]] = 0
+        groups = rng.integers(0, 3, n).astype(np.uint64)
+        order, common = R.sorted_suffixes(keys, lengths, groups)
+        texts = [(int(groups[i]), keys[i].tobytes(), int(lengths[i])) for i in range(n)]
+        assert order.tolist() == sorted(range(n), key=lambda i: (*texts[i], i))
+        for at, (i, j) in enumerate(zip(order[:-1].tolist(), order[1:].tolist()), 1):
+            same = os.path.commonprefix([keys[i, :lengths[i]].tolist(), keys[j, :lengths[j]].tolist()])
+            assert common[at] == (len(same) if groups[i] == groups[j] else 0)
+        assert common[0] == common[n] == 0
