@@ -6,6 +6,7 @@ enrolments. Histories that are rows of a table are judged by ``cleaning.last_sta
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,9 +55,17 @@ def checks(rules: V.Rules) -> dict[str, Column]:
 
 @dataclass
 class AlertLoad:
-    """Documents of enrolled students with their failed controls, and those of nobody."""
-    judged: DataFrame
+    """Repaired documents of enrolled students, and those of nobody. Only what is judged is staged; the
+    ledger counts the repairs where they arise."""
+    fixed: DataFrame
     orphans: DataFrame
+    rules: V.Rules
+
+    @cached_property
+    def judged(self) -> DataFrame:
+        """Repaired documents with their failed controls."""
+        fixed = materialise(self.fixed, "alertas-reparadas")
+        return V.validate(V.summarise_alert_documents(fixed), checks(self.rules))
 
     @property
     def accepted(self) -> DataFrame:
@@ -68,7 +77,7 @@ class AlertLoad:
         return self.orphans.unionByName(V.split_valid(self.judged, "alertas", FIELDS)[1])
 
     def ledger(self) -> DataFrame:
-        return C.alert_ledger(self.judged)
+        return C.alert_ledger(self.fixed)
 
 
 def load(documents: DataFrame, enrolments: DataFrame, rules: V.Rules = V.Rules(),
@@ -81,9 +90,7 @@ def load(documents: DataFrame, enrolments: DataFrame, rules: V.Rules = V.Rules()
     orphans = C.quarantined(marked.where("_huerfano"), "alertas", F.lit("R-17"), FIELDS)
     fixed = C.fix_alert_documents(marked.where("NOT _huerfano").drop("_huerfano"),
                                   normalise, categorise)
-    fixed = materialise(fixed, "alertas-reparadas")
-    judged = V.validate(V.summarise_alert_documents(fixed), checks(rules))
-    return AlertLoad(judged, orphans)
+    return AlertLoad(fixed, orphans, rules)
 
 
 def read_back(quarantine: DataFrame) -> DataFrame:

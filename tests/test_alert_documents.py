@@ -83,3 +83,16 @@ def test_raw_controls_see_what_the_repair_mends(spark):
     assert set(judged.select(F.explode("_fallos")).toPandas()["col"]) == {
         "actualizado_tras_crear", "actualizado_tras_historial", "actualizado_tras_notas", "estado_es_ultimo",
         "abre_en_inicial"}
+
+
+def test_ledger_stages_no_repaired_documents(spark, monkeypatch):
+    staged, stage = [], L.materialise
+    monkeypatch.setattr(L, "materialise", lambda df, label: staged.append(label) or stage(df, label))
+    late = GOOD | {"estado": "abierta", "actualizado_en": "2006-01-01T00:00:00"}
+    raw = spark.createDataFrame([(json.dumps(d),) for d in (late, GOOD | {"estudiante_id": 99})], "d string")
+    keys = spark.createDataFrame([(1, "MAT")], "estudiante_id bigint, asignatura string")
+    load = L.load(L.parse(raw, "d"), keys)
+    ledger = {r["regla"]: r["afectados"] for r in load.ledger().collect()}
+    assert staged == ["alertas"]
+    assert ledger == {r["regla"]: r["afectados"] for r in L.C.alert_ledger(load.judged).collect()}
+    assert ledger["R-24"] >= 2 and ledger["R-25"] == len(GOOD["notas"])
