@@ -136,3 +136,17 @@ def test_active_days_over_a_whole_period(spark):
     row = X.lms_activity(days).first()
     assert (row["n_eventos"], row["minutos"], row["n_tareas"], row["n_tareas_revisadas"],
             row["dias_activos"]) == (186, 930, 186, 93, 93)
+
+
+def test_counts_add_up_in_one_pass(spark, cleaned):
+    raw, result = cleaned
+    row = result.counts().first().asDict()
+    assert row == {"entrada": raw.count(), "duplicados": 1, "rechazados": result.quarantine.count(),
+                   "salida": result.clean.count()}
+    assert row["entrada"] == row["duplicados"] + row["rechazados"] + row["salida"]
+    keys = spark.createDataFrame([(1, "MAT")], "estudiante_id int, asignatura string")
+    talks = C.clean_sessions(spark.createDataFrame(
+        [(1, "MAT", D(2005, 10, 3), "completada"), (1, "MAT", None, "x"), (None, "MAT", D(2005, 10, 3), "x")],
+        "estudiante_id int, asignatura string, fecha timestamp_ntz, resultado string"), keys)
+    assert talks.counts().first().asDict() == {"entrada": 3, "duplicados": 0, "rechazados": talks.quarantine.count(),
+                                               "salida": talks.clean.count()}
