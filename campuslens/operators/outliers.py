@@ -30,18 +30,22 @@ def above_mean_flag(df: DataFrame, group: list[str], value: str, evaluated: Colu
             .withColumn(flag, F.when(evaluated, F.col(value) > F.col("_mean"))).drop("_mean"))
 
 
-def risk_factors(df: DataFrame, group: list[str] = ["asignatura"]) -> DataFrame:
-    """High absences (>= Q3), prior failures, low activity (<= Q1); quartiles use all rows."""
+def register_factors(df: DataFrame, group: list[str] = ["asignatura"]) -> DataFrame:
+    """High absences (>= Q3) and prior failures, which the register alone gives."""
     q3 = quantiles(df, group, "faltas", {"_q75": 0.75}, small_domain=True)
-    q1 = quantiles(df, group, "sim_lms_minutos_p1", {"_q25": 0.25})
-    out = attach_group(attach_group(df, q3, group, "q75"), q1, group, "q25")
-    out = out.withColumns({
+    return attach_group(df, q3, group, "q75").withColumns({
         "f_inasistencia": F.col("faltas") >= F.col("_q75"),
         "f_reprob_previas": F.col("reprobaciones_previas") >= 1,
-        "f_bajo_lms": F.col("sim_lms_minutos_p1") <= F.col("_q25"),
-    })
+    }).drop("_q75")
+
+
+def risk_factors(df: DataFrame, group: list[str] = ["asignatura"]) -> DataFrame:
+    """High absences (>= Q3), prior failures, low activity (<= Q1); quartiles use all rows."""
+    q1 = quantiles(df, group, "sim_lms_minutos_p1", {"_q25": 0.25})
+    out = attach_group(register_factors(df, group), q1, group, "q25").withColumn(
+        "f_bajo_lms", F.col("sim_lms_minutos_p1") <= F.col("_q25"))
     real = F.col("f_inasistencia").cast("int") + F.col("f_reprob_previas").cast("int")
     return out.withColumns({
         "n_factores_reales": real,
         "n_factores_total": real + F.col("f_bajo_lms").cast("int"),
-    }).drop("_q75", "_q25")
+    }).drop("_q25")

@@ -87,3 +87,20 @@ def test_dense_numbers(spark):
     rows = dense_numbers(df.repartition(6), "s", "n", block=40).orderBy("s").collect()
     assert [r["n"] for r in rows] == list(range(1, 51))
     assert math.isclose(rows[0]["s"], 3)
+
+
+def test_register_factors_need_no_behaviour(spark):
+    from campuslens.operators import dataset as A
+    from campuslens.operators import outliers as O
+    wide = spark.createDataFrame(
+        [(1, "M", 5, 9, 0), (2, "M", 20, 12, 1), (3, "M", 1, None, 3), (None, "M", 9, 4, 2), (4, "P", 7, 10, 0)],
+        "estudiante_id int, asignatura string, faltas int, nota_p3 int, reprobaciones_previas int")
+    rows = A.register_columns(wide)
+    assert rows.count() == 4  # the split drops rows without a student
+    assert [(r.estudiante_id, r.en_riesgo) for r in rows.orderBy("estudiante_id").collect()] == [
+        (1, 1), (2, 0), (3, None), (4, 0)]
+    assert all(rows.schema[v.name].dataType.simpleString() == v.type for v in A.DICTIONARY if v.name in rows.columns)
+    flags = ["estudiante_id", "f_inasistencia", "f_reprob_previas"]
+    whole = O.risk_factors(rows.withColumn("sim_lms_minutos_p1", F.lit(1)))
+    assert sorted(map(tuple, O.register_factors(rows).select(*flags).collect())) == sorted(
+        map(tuple, whole.select(*flags).collect()))
