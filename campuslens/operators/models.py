@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (LogisticRegression, RandomForestClassificationModel,
+                                       RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,7 +22,7 @@ from campuslens.operators.metrics import (auc_roc_pr, classification_metrics,
                                           threshold_for_recall)
 from campuslens.operators.running import histogram
 from campuslens.operators.split import SEED, grouped_folds
-from campuslens.session import materialise
+from campuslens.session import materialise, scratch_dir
 
 LABEL, GROUP = "en_riesgo", "estudiante_id"
 PRIOR, LOGISTIC, FOREST, BOOSTING = ("Línea base (prior)", "Regresión logística",
@@ -31,6 +33,10 @@ ROWS_PER_TASK = 20_000
 #: Forest tasks at least; bags are drawn per partition, so the count must not hang on the machine.
 FOREST_PARTITIONS = 8
 PARALLEL_FITS = 4
+#: Between the seeds of groups of trees.
+SEED_STEP = 1_000_003
+#: Nodes that the trees of one fit may have at most, which the driver holds.
+FOREST_NODES = 1 << 20
 
 
 def logistic(rows: int):
@@ -62,14 +68,49 @@ class Prior:
         return df.withColumn(name, F.lit(float(self.rate)))
 
 
+class ForestGroups:
+    """A forest whose trees are too large together for the driver: groups of trees in the shared folder, of
+    which the driver holds one at a time."""
+
+    def __init__(self, folder: str, groups: int, trees: int):
+        self.folder, self.groups, self.trees = folder, groups, trees
+
+    @classmethod
+    def fit(cls, data: DataFrame, estimator: RandomForestClassifier, at_once: int) -> "ForestGroups":
+        folder = f"{scratch_dir(data.sparkSession).rstrip('/')}/bosque-{uuid.uuid4().hex}"
+        trees = estimator.getNumTrees()
+        starts = range(0, trees, at_once)
+        for k, start in enumerate(starts):
+            part = estimator.copy({estimator.numTrees: min(at_once, trees - start),
+                                   estimator.seed: SEED + SEED_STEP * k})
+            part.fit(data).write().save(f"{folder}/{k}")
+        return cls(folder, len(starts), trees)
+
+    def score(self, encoded: DataFrame, name: str) -> DataFrame:
+        """Each tree votes with the shares of the classes in its leaf, as in one forest."""
+        votes = "_votos"
+        rows = encoded.withColumn(votes, F.lit(0.0))
+        for k in range(self.groups):
+            scored = RandomForestClassificationModel.load(f"{self.folder}/{k}").transform(rows)
+            rows = materialise(scored.withColumn(votes, F.col(votes) + vector_to_array("rawPrediction")[1])
+                               .select(*rows.columns), "votos")
+        return rows.withColumn(name, F.col(votes) / self.trees).drop(votes)
+
+
+def with_score(model, encoded: DataFrame, name: str) -> DataFrame:
+    """Encoded rows with the probability of the positive class."""
+    if isinstance(model, ForestGroups):
+        return model.score(encoded, name)
+    return model.transform(encoded).withColumn(name, vector_to_array("probability")[1]).drop(
+        "rawPrediction", "probability", "prediction")
+
+
 class Fitted:
     def __init__(self, encoder: Encoder, model):
         self.encoder, self.model = encoder, model
 
     def score(self, df: DataFrame, name: str = "p") -> DataFrame:
-        out = self.model.transform(self.encoder.transform(df))
-        return out.withColumn(name, vector_to_array("probability")[1]).drop(
-            "features", "rawPrediction", "probability", "prediction")
+        return with_score(self.model, self.encoder.transform(df), name).drop("features")
 
 
 def fit(train: DataFrame, scenario: Scenario, model: str):
@@ -90,7 +131,18 @@ def train_model(data: DataFrame, rows: int, model: str):
         data = data.repartition(max(FOREST_PARTITIONS, rows // ROWS_PER_TASK), *key) \
             .sortWithinPartitions(*key)
     data = data.select("features", F.col(LABEL).cast("double").alias(LABEL))
-    return MODELS[model](rows).fit(data)
+    estimator = MODELS[model](rows)
+    if model == FOREST:
+        at_once = trees_at_once(rows, estimator.getMinInstancesPerNode())
+        if at_once < estimator.getNumTrees():
+            return ForestGroups.fit(data, estimator, at_once)
+    return estimator.fit(data)
+
+
+def trees_at_once(rows: int, least: int) -> int:
+    """So many trees have ``FOREST_NODES`` nodes at most, if each leaf has ``least`` of ``rows`` rows (one
+    tree at least)."""
+    return max(1, FOREST_NODES // max(1, 2 * rows // least))
 
 
 class Prepared:
@@ -115,8 +167,7 @@ class Prepared:
 
     def score(self, df: DataFrame, scenario: Scenario, fitted, name: str) -> DataFrame:
         """``df``, which holds the columns of ``other``, with the scores of a fitted model."""
-        out = fitted.transform(self.encoder.assemble(df, self.scaled(scenario)))
-        return out.withColumn(name, vector_to_array("probability")[1]).select(*df.columns, name)
+        return with_score(fitted, self.encoder.assemble(df, self.scaled(scenario)), name).select(*df.columns, name)
 
 
 def out_of_fold(sets: list[Prepared], scenario: Scenario, model: str, fold: str = "pliegue") -> DataFrame:

@@ -127,3 +127,25 @@ def test_forest_does_not_depend_on_the_input_partitions(spark, monkeypatch):
         fitted = M.fit(dealt, Scenario("s", ("x", "y"), ()), M.FOREST)
         scores.append([r.p for r in fitted.score(rows, "p").orderBy("estudiante_id").collect()])
     assert scores[0] == scores[1]
+
+
+def test_forest_larger_than_the_driver_is_fitted_in_groups(spark, monkeypatch):
+    monkeypatch.setitem(M.MODELS, M.FOREST, lambda rows: M.forest(rows).setNumTrees(5))
+    i = F.col("id")
+    rows = spark.range(300).select(
+        i.alias("estudiante_id"), F.lit("MAT").alias("asignatura"),
+        *[F.when(i % 3 == 0, "a").otherwise("b").alias(c) for c in CATEGORICAL if c != "asignatura"],
+        (i % 17).alias("x"), ((i % 17) > 9).cast("int").alias("en_riesgo"))
+    whole = M.fit(rows, Scenario("s", ("x",), ()), M.FOREST)
+    assert not isinstance(whole.model, M.ForestGroups)  # few rows: one fit of all trees, as before
+    monkeypatch.setattr(M, "FOREST_NODES", 2 * 300 // 5 * 2)
+    fits = []
+    fit = M.RandomForestClassifier.fit
+    monkeypatch.setattr(M.RandomForestClassifier, "fit",
+                        lambda self, data: fits.append(self.getNumTrees()) or fit(self, data))
+    grouped = M.fit(rows, Scenario("s", ("x",), ()), M.FOREST)
+    assert fits == [2, 2, 1]
+    scored = grouped.score(rows, "p")
+    assert scored.columns == [*rows.columns, "p"]
+    got = scored.select("en_riesgo", "p").collect()
+    assert len(got) == 300 and all(0 <= r.p <= 1 and (r.p > 0.5) == (r.en_riesgo == 1) for r in got)
