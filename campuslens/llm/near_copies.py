@@ -22,7 +22,7 @@ from campuslens.llm import simhash
 from campuslens.llm.common import LOWER, RollingHash, Stage, fresh_name, mix64, pieces, \
     release_shuffles, stage, text_buffers
 from campuslens.llm.components import components
-from campuslens.session import bounded
+from campuslens.session import MAX_BROADCAST_ROWS, bounded
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -61,8 +61,22 @@ def _lower_texts(column: pa.Array) -> Iterator[bytes]:
     return (lower[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True))
 
 
+#: Bits of a set's parity map, in words of 64.
+MAP_WORDS = 16
+_MAP = [f"m{k}" for k in range(MAP_WORDS)]
+
+
+def parity_map(hashes: np.ndarray) -> np.ndarray:
+    """Each shingle of a set flips one of the bits. Two maps differ in no more bits than the sets have
+    shingles that are not shared, so they can rule pairs out."""
+    bit = (hashes & np.uint64(64 * MAP_WORDS - 1)).astype(np.int64)
+    odd = np.bincount(bit, minlength=64 * MAP_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
 def with_prints(docs: DataFrame, names: list[str], text_col: str = "text") -> DataFrame:
-    """All columns and ``names``: the 3-word SimHash and the hash of the set of shingles."""
+    """All columns and ``names``: the 3-word SimHash, the hash of the set of shingles, its size and the
+    words of its parity map."""
     at = fresh_name(docs, "_text")
     rows = docs.withColumn(at, F.col(text_col).cast("string"))
     schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in names)])
@@ -70,11 +84,13 @@ def with_prints(docs: DataFrame, names: list[str], text_col: str = "text") -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, at):
-                made = np.array([[simhash.fingerprint(t), set_id(shingle_set(_word_hashes(t)))]
-                                 for t in _lower_texts(part.column(part.num_columns - 1))],
-                                np.uint64).view(np.int64)
+                made = np.empty((part.num_rows, len(names)), np.uint64)
+                for k, t in enumerate(_lower_texts(part.column(part.num_columns - 1))):
+                    hashes = shingle_set(_word_hashes(t))
+                    made[k, :3] = simhash.fingerprint(t), set_id(hashes), len(hashes)
+                    made[k, 3:] = parity_map(hashes)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], *(pa.array(c) for c in made.T.copy())], schema.names)
+                    [*part.columns[:-1], *(pa.array(c) for c in made.view(np.int64).T.copy())], schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -204,14 +220,22 @@ def _may_be_similar(n, at, m, there, similarity: float):
 
 
 def buckets(texts: DataFrame, similarity: float = SIMILARITY) -> Stage:
-    """``shared_prefixes`` with the ends ``lo`` and ``hi`` (node, n, at) of the shingle's nodes."""
-    rows = Stage(shared_prefixes(texts, similarity), "prefixes")
-    it = F.struct("node", "n", "at")
-    ends = rows.frame.groupBy("shingle").agg(F.min(it).alias("lo"), F.max(it).alias("hi")).where(
-        "lo.node != hi.node")
+    """(bucket, node, n, at, times, lo, hi): the nodes that share a first shingle. ``times`` shingles that
+    the very same nodes share are one bucket, with a node's least position in them, so that what copies
+    have in common counts once; ``lo`` and ``hi`` are the ends (node, n, at) of the bucket. A bucket
+    is named by a hash of its nodes; if two had the same name, they would only be too wide together."""
+    rows = Stage(shared_prefixes(texts, similarity).distinct(), "prefixes")
+    release_shuffles(texts.sparkSession)
+    names = rows.frame.groupBy("shingle").agg(
+        F.bit_xor(F.xxhash64("node")).alias("bucket"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    merged = Stage(rows.frame.join(names, "shingle").groupBy("bucket", "node").agg(
+        F.min("n").alias("n"), F.min("at").alias("at"), F.count(F.lit(1)).alias("times")), "prefix-merged")
     release_shuffles(texts.sparkSession)
-    out = Stage(rows.frame.join(ends, "shingle").distinct(), "prefix-buckets")
     rows.drop()
+    it = F.struct("node", "n", "at")
+    ends = merged.frame.groupBy("bucket").agg(F.min(it).alias("lo"), F.max(it).alias("hi"))
+    out = Stage(merged.frame.join(ends, "bucket"), "prefix-buckets")
+    merged.drop()
     return out
 
 
@@ -222,7 +246,7 @@ def end_candidates(shared: DataFrame, similarity: float = SIMILARITY) -> DataFra
     def met(end: str) -> DataFrame:
         return shared.where((F.col("node") != F.col(f"{end}.node")) & _may_be_similar(
             F.col("n"), F.col("at"), F.col(f"{end}.n"), F.col(f"{end}.at"), similarity)).groupBy(
-            "node", F.col(f"{end}.node").alias("end")).agg(F.count(F.lit(1)).alias("times"))
+            "node", F.col(f"{end}.node").alias("end")).agg(F.sum("times").alias("times"))
 
     ends = met("lo").union(met("hi")).groupBy("node").agg(
         F.min("end").alias("x"), F.max("end").alias("y"),
@@ -231,52 +255,37 @@ def end_candidates(shared: DataFrame, similarity: float = SIMILARITY) -> DataFra
         F.greatest("node", "end").alias("u"), F.least("node", "end").alias("v")).distinct()
 
 
-#: Bits of a set's parity map, in words of 64.
-MAP_WORDS = 16
-_MAP = [f"m{k}" for k in range(MAP_WORDS)]
-
-
-def parity_maps(texts: DataFrame) -> DataFrame:
-    """(node, m0, m1, ...) of ``texts`` (node, text): each shingle flips one of the bits. Two maps differ
-    in no more bits than the sets have shingles that are not shared, so they can rule pairs out."""
-    schema = "node long, " + ", ".join(f"{c} long" for c in _MAP)
+def _maps_allow(a: str, b: str, similarity: float):
+    """The sizes and parity maps of two sets do not rule them out."""
+    differ = sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in _MAP), F.lit(0))
+    return differ <= (1 - similarity) / (1 + similarity) * (F.col(f"{a}.n") + F.col(f"{b}.n")) + _EPS
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in pieces(batch, "text"):
-                maps = np.zeros((part.num_rows, MAP_WORDS), np.uint64)
-                for row, t in enumerate(_lower_texts(part.column(1))):
-                    bit = shingle_set(_word_hashes(t)) & np.uint64(64 * MAP_WORDS - 1)
-                    odd = np.flatnonzero(np.bincount(bit.astype(np.int64), minlength=64 * MAP_WORDS) & 1)
-                    np.bitwise_xor.at(maps[row], odd // 64, np.uint64(1) << (odd % 64).astype(np.uint64))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *(pa.array(c) for c in maps.view(np.int64).T.copy())], ["node", *_MAP])
 
-    return texts.mapInArrow(run, schema)
+def possible(pairs: DataFrame, maps: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Those of ``pairs`` (u, v) that ``maps`` (node, n, m0, m1, ...) do not rule out."""
+    a, b = maps.alias("a"), maps.alias("b")
+    return pairs.join(a, F.col("u") == F.col("a.node")).join(
+        b, (F.col("v") == F.col("b.node")) & _maps_allow("a", "b", similarity)).select("u", "v")
 
 
-def rest_candidates(shared: DataFrame, roots: DataFrame, texts_of, similarity: float = SIMILARITY
+def rest_candidates(shared: DataFrame, roots: DataFrame, maps: DataFrame, similarity: float = SIMILARITY
                     ) -> DataFrame:
     """All other distinct (u, v) of ``shared`` that may be similar and are not joined already by
-    ``roots`` (node, root): they share a first shingle, their sizes and its places allow it, and so do
-    their parity maps. ``texts_of`` gives the texts of nodes."""
-    placed = shared.select("shingle", "node", "n", "at").join(roots, "node", "left").withColumn(
+    ``roots`` (node, root): they share a bucket, their sizes and places in it allow it, and so do
+    their ``maps`` (node, n, m0, m1, ...)."""
+    placed = shared.select("bucket", "node", "at").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
-    mixed = placed.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(
-        "x != y").select("shingle")
-    placed = Stage(placed.join(mixed, "shingle", "left_semi"), "prefix-rest")
-    maps = Stage(parity_maps(texts_of(placed.frame.select("node").distinct())), "parity-maps")
-    mapped = placed.frame.join(maps.frame, "node")
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(
+        "x != y").select("bucket")
+    placed = Stage(placed.join(mixed, "bucket", "left_semi"), "prefix-rest")
+    mapped = placed.frame.join(maps, "node")
     a, b = mapped.alias("a"), mapped.alias("b")
-    differ = sum((F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}"))) for c in _MAP), F.lit(0))
-    most = (1 - similarity) / (1 + similarity) * (F.col("a.n") + F.col("b.n")) + _EPS
-    met = a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.root") < F.col("b.root"))
+    met = a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.root") < F.col("b.root"))
                  & _may_be_similar(F.col("a.n"), F.col("a.at"), F.col("b.n"), F.col("b.at"),
-                                   similarity) & (differ <= most))
+                                   similarity) & _maps_allow("a", "b", similarity))
     out = Stage(met.select(F.greatest("a.node", "b.node").alias("u"),
                            F.least("a.node", "b.node").alias("v")).distinct(), "rest-candidates")
     placed.drop()
-    maps.drop()
     return out.frame
 
 
@@ -321,24 +330,45 @@ def similar(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
     that no pair names are not looked at. A set of many shingles is compared in slices of its
     hashes, so that no row grows with a text."""
     wanted = _ends(pairs)
-    sets = stage(shingle_slices(texts.join(wanted, "node", "left_semi"), similarity), "shingle-sets")
-
-    def side(name: str, n: str, hashes: str) -> DataFrame:
-        return sets.select(F.col("node").alias(name), F.col("n").alias(n), "bits", "slice",
-                           F.col("hashes").alias(hashes))
-
+    sets = Stage(shingle_slices(texts.join(wanted, "node", "left_semi"), similarity), "shingle-sets")
     # similarity s needs sizes within a factor s of one another
     least = F.least("nu", "nv") >= similarity * F.greatest("nu", "nv") - _EPS
-    sizes = sets.groupBy("node").agg(F.first("n").alias("n"), F.min("bits").alias("own"))
-    fit = pairs.join(sizes.toDF("u", "nu", "bu"), "u").join(sizes.toDF("v", "nv", "bv"), "v").where(
-        least).select("u", "v", F.greatest("bu", "bv").alias("bits"))
-    met = fit.join(side("u", "nu", "a"), ["u", "bits"]).join(
-        side("v", "nv", "b"), ["v", "bits", "slice"])
-    shared = met.groupBy("u", "v").agg(
+    sizes = sets.frame.groupBy("node").agg(F.first("n").alias("n"), F.min("bits").alias("own"))
+    fit = bounded(pairs.join(sizes.toDF("u", "nu", "bu"), "u").join(sizes.toDF("v", "nv", "bv"), "v").where(
+        least).select("u", "v", "nu", "nv", F.greatest("bu", "bv").alias("bits")), "fitting-pairs")
+
+    def side(name: str, hashes: str, *more: str) -> DataFrame:
+        """A set's slices for each of its pairs: they meet by pair, so a set moves with its pairs only."""
+        return sets.frame.join(fit.withColumn("node", F.col(name)), ["node", "bits"]).select(
+            "u", "v", "slice", F.col("hashes").alias(hashes), *more)
+
+    shared = side("u", "a", "nu", "nv").join(side("v", "b"), ["u", "v", "slice"]).groupBy("u", "v").agg(
         F.first("nu").alias("nu"), F.first("nv").alias("nv"),
         F.sum(F.size(F.array_intersect("a", "b"))).alias("both"))
-    return shared.where(F.col("both") >= similarity * (F.col("nu") + F.col("nv") - F.col("both"))
-                        - _EPS).select("u", "v")
+    out = stage(shared.where(F.col("both") >= similarity * (F.col("nu") + F.col("nv") - F.col("both"))
+                             - _EPS).select("u", "v"), "similar-pairs")
+    sets.drop()
+    return out
+
+
+#: Words of 64 bits that a sieve has at most.
+SIEVE_WORDS = 1 << 18
+
+
+def at_rows(rows: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
+    """``rows`` joined to ``ids`` (distinct ``key``, more) by an "inner" or "left_anti" join in which whole rows
+    move only if they may be named: a short list goes to the rows; of a longer one a sieve of 2 MB does,
+    and the rows that stay in it are joined by a shuffle. The result is that of the plain join."""
+    listed = stage(ids, "listed-rows")
+    if listed.count() <= MAX_BROADCAST_ROWS:
+        return rows.join(F.broadcast(listed), key, how)
+    slot = F.pmod(F.xxhash64(key), F.lit(SIEVE_WORDS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(F.lit(1), key), F.lit(64)).cast("int"))
+    sieve = stage(listed.groupBy(slot.alias("_slot")).agg(F.bit_or(bit).alias("_word")), "sieve")
+    marked = rows.withColumn("_slot", slot).join(F.broadcast(sieve), "_slot", "left")
+    inside = F.coalesce(F.col("_word").bitwiseAND(bit) != 0, F.lit(False))
+    met = marked.where(inside).drop("_slot", "_word").join(listed, key, how)
+    return met if how == "inner" else met.unionByName(marked.where(~inside).drop("_slot", "_word"))
 
 
 def simhash_links(nodes: DataFrame) -> DataFrame:
@@ -359,25 +389,28 @@ def one_per_group(docs: DataFrame) -> DataFrame:
 
     Null and wordless texts are one group; texts of fewer than five words have one shingle; repeated
     rows are copies; extra columns stay; an empty table gives an empty result."""
-    names = [fresh_name(docs, f"_{p}") for p in ("fp", "set")]
+    names = [fresh_name(docs, f"_{p}") for p in ("fp", "set", "size", *_MAP)]
     row = fresh_name(docs, "_row")
     marked = Stage(with_prints(docs, names).withColumn(row, F.monotonically_increasing_id()),
                    "prints").frame
-    copies = marked.select(F.col(names[0]).alias("fp"), F.col(names[1]).alias("node"),
+    node = names[1]
+    copies = marked.select(F.col(names[0]).alias("fp"), F.col(node).alias("node"),
                            F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"),
                                     F.col(row).alias("row")).alias("it"))
     nodes = Stage(copies.groupBy("fp", "node").agg(F.min("it").alias("best")), "print-nodes")
     sets = Stage(nodes.frame.groupBy("node").agg(F.min("best").alias("best")), "set-nodes")
     texts = marked.select(row, F.col("text").cast("string").alias("text"))
+    maps = Stage(marked.groupBy(F.col(node).alias("node")).agg(
+        *[F.min(name).alias(c) for name, c in zip(names[2:], ["n", *_MAP], strict=True)]), "parity-maps")
 
     def texts_of(wanted: DataFrame) -> DataFrame:
-        """Texts of nodes; a list of them that is short by count goes to the texts, which then stay in place."""
+        """Texts of nodes."""
         found = wanted.join(sets.frame.select("node", F.col("best.row").alias(row)), "node")
-        return texts.join(bounded(found, "wanted-rows"), row).select("node", "text")
+        return at_rows(texts, found, row, "inner").select("node", "text")
 
-    shared = buckets(marked.select(F.col(names[1]).alias("node"), F.col("text").cast("string").alias("text")))
+    shared = buckets(marked.select(F.col(node).alias("node"), F.col("text").cast("string").alias("text")))
     release_shuffles(docs.sparkSession)
-    candidates = Stage(end_candidates(shared.frame), "end-candidates")
+    candidates = Stage(possible(end_candidates(shared.frame), maps.frame), "end-candidates")
     prints = Stage(simhash_links(nodes.frame), "print-links")
     release_shuffles(docs.sparkSession)
     near = Stage(similar(candidates.frame, texts_of(_ends(candidates.frame))), "near-links")
@@ -387,17 +420,18 @@ def one_per_group(docs: DataFrame) -> DataFrame:
     near.drop()
     first = components(links.frame)
     release_shuffles(docs.sparkSession)
-    rest = rest_candidates(shared.frame, first, texts_of)
+    rest = rest_candidates(shared.frame, first, maps.frame)
     release_shuffles(docs.sparkSession)
-    shared.drop()
-    candidates.drop()
-    links.drop()
+    for old in (shared, candidates, links, maps):
+        old.drop()
     more = Stage(first.toDF("u", "v").union(similar(rest, texts_of(_ends(rest)))), "all-links")
     release_shuffles(docs.sparkSession)
     roots = components(more.frame)
     best = Stage(sets.frame.join(roots, "node", "left").groupBy(
         F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best")).select(
         F.col("best.row").alias(row)), "kept-rows")
-    for old in (nodes, sets, more):
+    gone = marked.select(row).join(best.frame, row, "left_anti")
+    kept = at_rows(marked.select(row, *[F.col(f"`{c}`") for c in docs.columns]), gone, row, "left_anti")
+    for old in (nodes, sets, more, best):
         old.drop()
-    return marked.join(best.frame, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

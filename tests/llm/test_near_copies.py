@@ -151,3 +151,39 @@ def test_long_texts_are_decided_at_their_bound(spark):
     found = near_copies.similar(spark.createDataFrame(pairs, "u long, v long"),
                                 spark.createDataFrame(texts, "node long, text string"))
     assert sorted(map(tuple, found.collect())) == sorted(expect)
+
+
+def test_what_copies_have_in_common_is_one_bucket(spark):
+    """Ten copies that differ in one word share some 40 first shingles: one row each, not one per shingle."""
+    base = [f"w{i}" for i in range(200)]
+    texts = [(i, " ".join([*base[:-1], f"own{i}"])) for i in range(10)]
+    rows = near_copies.buckets(spark.createDataFrame(texts, "node long, text string")).frame.collect()
+    assert {r.node for r in rows} == set(range(10))
+    assert len(rows) <= 20 and sum(r.times for r in rows) > 200
+
+
+def test_whole_rows_stay_in_place(spark, docs_frame):
+    """Rows that stay are not shuffled to be told from the others."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join(rng.sample(words, 80))) for i in range(20)] + [(50, " ".join(words)), (51, " ".join(words))]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = near_copies.one_per_group(docs_frame(rows))
+        assert "hashpartitioning" not in out._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(r.doc_id for r in out.collect()) == [*range(20), 50]
+
+
+def test_long_lists_go_through_a_sieve(spark, docs_frame, monkeypatch):
+    monkeypatch.setattr(near_copies, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(near_copies, "SIEVE_WORDS", 4)  # lets rows through that are not listed
+    rows = spark.range(1000).selectExpr("id AS k", "repeat('x', 5) AS text")
+    ids = spark.range(0, 2000, 7).selectExpr("id AS k", "-id AS node")
+    for how in ("inner", "left_anti"):
+        got, plain = near_copies.at_rows(rows, ids, "k", how), rows.join(ids, "k", how)
+        assert got.columns == plain.columns
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+    test_near_copies_go_and_others_stay(docs_frame)
