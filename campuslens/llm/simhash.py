@@ -93,14 +93,17 @@ def links(prints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     ``threshold`` bits. A fingerprint is at home at one anchor and replicated to each anchor within
     radius plus threshold; the join on the anchor is an ordinary shuffle join that adaptive
     execution splits where an anchor is crowded, and it emits links only. A fingerprint has at most
-    64 + 2016 others within two bits, so the links cannot grow with the square of a group."""
+    64 + 2016 others within two bits, so the links cannot grow with the square of a group.
+
+    The join is hinted: Spark takes the replicas for as many rows as there are fingerprints, a
+    hundredth of what they are, and would broadcast them."""
     def schema(name):
         return T.StructType([T.StructField("anchor", T.LongType()),
                              T.StructField(name, T.LongType())])
     home = prints.select("fp").mapInArrow(_anchors(threshold, True), schema("u"))
     near = prints.select("fp").mapInArrow(_anchors(threshold, False), schema("v"))
     differ = F.bit_count(F.col("u").bitwiseXOR(F.col("v")))
-    pairs = home.join(near, (home.anchor == near.anchor) & (F.col("u") < F.col("v"))
+    pairs = home.join(near.hint("merge"), (home.anchor == near.anchor) & (F.col("u") < F.col("v"))
                       & (differ <= threshold))
     return pairs.select("u", "v")
 

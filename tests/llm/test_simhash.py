@@ -1,5 +1,6 @@
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from campuslens.llm import covering, simhash
 from campuslens.llm.components import components
@@ -86,3 +87,13 @@ def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(0, 200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long").repartition(5)).collect()}
     assert got == {i: 0 for i in range(1, 201)} | {1000 + i: 1000 for i in range(1, 300)}
+
+
+def test_replicas_are_never_broadcast(spark):
+    """Spark sizes them like the fingerprints; the session's own threshold must not let them through the driver."""
+    prints = spark.range(2_000).select(F.xxhash64("id").alias("fp"))
+    found = simhash.links(prints)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    near = spark.createDataFrame([(0,), (1,), (7,), (7 << 40,)], "fp long")
+    assert sorted(map(tuple, simhash.links(near).collect())) == [(0, 1), (1, 7)]
