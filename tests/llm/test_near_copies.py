@@ -187,3 +187,16 @@ def test_long_lists_go_through_a_sieve(spark, docs_frame, monkeypatch):
         assert got.columns == plain.columns
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
     test_near_copies_go_and_others_stay(docs_frame)
+
+
+def test_print_links_of_the_pipeline_are_not_broadcast(spark, monkeypatch):
+    """Links of fingerprints are joined by a shuffle under the session's own broadcast threshold."""
+    plans = {}
+
+    def staged(df, label, stage=near_copies.stage):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return stage(df, label)
+    monkeypatch.setattr(near_copies, "stage", staged)
+    nodes = spark.createDataFrame([(10, 0), (11, 0), (12, 3), (13, 1 << 50)], "node long, fp long")
+    assert {tuple(sorted(r)) for r in near_copies.simhash_links(nodes).collect()} == {(10, 11), (10, 12), (10, 13)}
+    assert "SortMergeJoin" in plans["print-links"] and "Broadcast" not in plans["print-links"]
