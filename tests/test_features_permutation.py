@@ -68,3 +68,27 @@ def test_rows_are_encoded_once_for_all_scenarios(spark, monkeypatch):
     for s in scenarios:
         alone = L.evaluate(rows, rows, s, L.LOGISTIC).first()
         assert all(abs(alone[c] - got[s.name][c]) < 1e-9 for c in ("auc_roc", "cv_auc_roc", "umbral", "brier"))
+
+
+def test_importance_of_boosted_trees_encodes_a_row_once(spark, monkeypatch):
+    """Same drops as from encoding and scoring every copy whole."""
+    rows = spark.range(1_200).select(
+        F.col("id").alias("estudiante_id"), F.lit("M").alias("asignatura"), (F.col("id") % 3).cast("string").alias("c"),
+        F.when(F.col("id") % 7 < 3, "a").when(F.col("id") % 7 < 6, "b").alias("two"),
+        (F.xxhash64("id") % 50).cast("double").alias("u"), (F.col("id") % 2).cast("int").alias("f"))
+    rows = rows.withColumn("en_riesgo", (F.col("u") + 20 * (F.col("c") == "1").cast("int") + 15 * F.col("f") > 10).cast("int"))
+    encoder = Encoder.fit(rows, Scenario("s", ("u",), ("f",)), ["c", "two"])
+    assert encoder.sources() == ["c", "c", "c", "two", "u", "f"]
+    model = L.SecondOrderBoosting("en_riesgo", trees=12).fit(encoder.transform(rows))
+    fitted, columns = L.Fitted(encoder, model), ["u", "f", "c", "two"]
+
+    class Whole:
+        score = staticmethod(fitted.score)
+
+    want = [tuple(r) for r in L.permutation_importance(Whole(), rows, columns, repeats=3).collect()]
+    seen, transform = [], Encoder.transform
+    monkeypatch.setattr(Encoder, "transform", lambda self, df: seen.append(df.count()) or transform(self, df))
+    got = [tuple(r) for r in L.permutation_importance(fitted, rows, columns, repeats=3).collect()]
+    assert seen == [1_200]  # not once per column and repeat
+    assert [g[0] for g in got] == [w[0] for w in want] and got[0][1] > 0.1
+    assert all(abs(a - b) < 1e-12 for g, w in zip(got, want) for a, b in zip(g[1:], w[1:]))
