@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from campuslens.operators.boosting import Boosted, SecondOrderBoosting, Tests
 from campuslens.operators.bootstrap import weighted_auc
 from campuslens.operators.features import Encoder, Scenario, union
+from campuslens.operators.forest import Rules, TaskForest
 from campuslens.operators.metrics import (auc_roc_pr, classification_metrics,
                                           threshold_for_recall)
 from campuslens.operators.running import histogram
@@ -38,6 +39,8 @@ PARALLEL_FITS = 4
 SEED_STEP = 1_000_003
 #: Nodes that the trees of one fit may have at most, which the driver holds.
 FOREST_NODES = 1 << 20
+#: Rows from which, and bytes of binned rows up to which, tasks grow the trees of a large forest.
+TASK_ROWS, TASK_BYTES = 5_000, 256 << 20
 
 
 def logistic(rows: int):
@@ -100,7 +103,7 @@ class ForestGroups:
 
 def with_score(model, encoded: DataFrame, name: str) -> DataFrame:
     """Encoded rows with the probability of the positive class."""
-    if isinstance(model, ForestGroups):
+    if isinstance(model, ForestGroups | TaskForest):
         return model.score(encoded, name)
     return model.transform(encoded).withColumn(name, vector_to_array("probability")[1]).drop(
         "rawPrediction", "probability", "prediction")
@@ -136,10 +139,20 @@ def train_model(data: DataFrame, rows: int, model: str):
     if model == FOREST:
         at_once = trees_at_once(rows, estimator.getMinInstancesPerNode())
         if at_once < estimator.getNumTrees():
-            return ForestGroups.fit(data, estimator, at_once)
+            return large_forest(data, estimator, rows, at_once)
     return estimator.fit(data)
 
 
+def large_forest(data: DataFrame, estimator: RandomForestClassifier, rows: int, at_once: int):
+    """A forest that one fit cannot hold: its trees are grown by tasks while a task can hold the binned rows,
+    else in groups of trees by passes over all rows."""
+    width = data.select("features").first()[0].size
+    if rows < TASK_ROWS or rows * width > TASK_BYTES:
+        return ForestGroups.fit(data, estimator, at_once)
+    rules = Rules(estimator.getMaxDepth(), estimator.getMinInstancesPerNode(), int(np.ceil(np.sqrt(width))), SEED)
+    return TaskForest.fit(data, LABEL, rows, estimator.getNumTrees(), estimator.getMaxBins(), rules)
+
+
 def trees_at_once(rows: int, least: int) -> int:
     """So many trees have ``FOREST_NODES`` nodes at most, if each leaf has ``least`` of ``rows`` rows (one
     tree at least)."""
